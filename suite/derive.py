@@ -61,13 +61,17 @@ def parsed_feed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _cents(column: str):
+    return (F.col(column).cast(KW) * 100).cast("bigint")
+
+
 def _register(amounts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Running meter register from amounts per (keys, ts)."""
+    """Running meter register from whole hundredths per (keys, ts)."""
     amounts = amounts.withColumn("_day", F.to_date("ts"))
     before = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     days = (
         amounts.groupBy(*keys, "_day")
-        .agg(F.sum("amount").alias("_total"))
+        .agg(F.sum("cents").alias("_total"))
         .select(*keys, "_day", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
     )
     within = (
@@ -75,55 +79,56 @@ def _register(amounts: DataFrame, keys: Sequence[str]) -> DataFrame:
         .orderBy("ts")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    running = amounts.withColumn("_run", F.sum("amount").over(within)).join(
-        days, [*keys, "_day"]
+    running = amounts.withColumn("_run", F.sum("cents").over(within)).join(days, [*keys, "_day"])
+    register = (F.col("_before") + F.col("_run")) % F.lit(REGISTER * 100)
+    hundredth = F.lit("0.01").cast("decimal(2,2)")
+    return running.select(
+        *keys, "ts", (register.cast("decimal(12,0)") * hundredth).cast(KW).alias("kilowatt")
     )
-    register = (F.col("_before") + F.col("_run")) % F.lit(REGISTER)
-    return running.select(*keys, "ts", register.cast(KW).alias("kilowatt"))
 
 
 def meter_feeds(spark: SparkSession, sf: str, site: str | None = None) -> DataFrame:
     """Cumulative feeds on a quarter-hour grid; solar only where it has events.
 
-    With ``site`` every value of that events column is a site of its own.
+    With ``site`` every value of that events column is a site of its own, and its
+    grid spans its own events.
     """
     ev = table(spark, sf, "events")
     keys = ["site"] if site else []
     who = [F.col(site).alias("site")] if site else []
-    amounts = (
-        ev.where(F.col("event_type").isin(*EVENT_FEED))
-        .groupBy(
-            *who,
-            _feed_of("event_type", EVENT_FEED).alias("feed"),
-            cal.floor_minutes("ts", 15).alias("ts"),
-        )
-        .agg(F.sum(F.col("value").cast(KW)).alias("amount"))
-    )
-    span = ev.agg(
-        F.struct(cal.truncate(F.min("ts"), "hour").alias("lo"), F.max("ts").alias("hi")).alias("b")
-    )
-    if site:
-        owners = ev.select(*who).distinct().withColumn("b", span.scalar())
-    else:
-        owners = span
-    day_step = F.sequence(
-        cal.truncate("b.lo", "day"), F.col("b.hi"), F.expr("INTERVAL 1 DAY")
+    owners = ev.groupBy(*who).agg(
+        cal.truncate(F.min("ts"), "hour").alias("lo"), F.max("ts").alias("hi")
     )
+    days = F.sequence(cal.truncate("lo", "day"), F.col("hi"), F.expr("INTERVAL 1 DAY"))
     slots = F.sequence(
-        F.col("_d"), F.col("_d") + F.expr("INTERVAL '23:45' HOUR TO MINUTE"),
+        F.col("_day"),
+        F.col("_day") + F.expr("INTERVAL '23:45' HOUR TO MINUTE"),
         F.expr("INTERVAL 15 MINUTE"),
     )
+    # The days are spread over tasks before they unfold into slots.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     grid = (
-        owners.select(*keys, "b", F.explode(day_step).alias("_d"))
-        .select(*keys, "b", F.explode(slots).alias("ts"))
-        .where((F.col("ts") >= F.col("b.lo")) & (F.col("ts") <= F.col("b.hi")))
-        .select(*keys, "ts", F.explode(F.array(F.lit("building"), F.lit("data_center"))).alias("feed"))
+        owners.select(*keys, "lo", "hi", F.explode(days).alias("_day"))
+        .repartition(tasks, *keys, "_day")
+        .select(*keys, "lo", "hi", F.explode(slots).alias("ts"))
+        .where((F.col("ts") >= F.col("lo")) & (F.col("ts") <= F.col("hi")))
+        .select(
+            *keys,
+            F.explode(F.array(F.lit("building"), F.lit("data_center"))).alias("feed"),
+            "ts",
+            F.lit(0).cast("bigint").alias("cents"),
+        )
     )
-    dense = grid.join(amounts, [*keys, "feed", "ts"], "left").select(
-        *keys, "feed", "ts", F.coalesce("amount", F.lit(0).cast("decimal(20,2)")).alias("amount")
+    events = ev.where(F.col("event_type").isin(*EVENT_FEED)).select(
+        *who,
+        _feed_of("event_type", EVENT_FEED).alias("feed"),
+        cal.floor_minutes("ts", 15).alias("ts"),
+        _cents("value").alias("cents"),
+    )
+    amounts = (
+        events.unionByName(grid).groupBy(*keys, "feed", "ts").agg(F.sum("cents").alias("cents"))
     )
-    sparse = amounts.where(F.col("feed") == "solar").select(*keys, "feed", "ts", "amount")
-    return _register(dense.unionByName(sparse), [*keys, "feed"])
+    return _register(amounts, [*keys, "feed"])
 
 
 def long_feeds(spark: SparkSession, sf: str) -> DataFrame:
@@ -131,7 +136,7 @@ def long_feeds(spark: SparkSession, sf: str) -> DataFrame:
     amounts = (
         table(spark, sf, "lineitem")
         .groupBy(_feed_of("l_returnflag", FLAG_FEED).alias("feed"), F.col("l_shipdate").alias("ts"))
-        .agg(F.sum(F.col("l_quantity").cast(KW)).alias("amount"))
+        .agg(F.sum(_cents("l_quantity")).alias("cents"))
     )
     return _register(amounts, ["feed"])
 

@@ -41,21 +41,18 @@ RAW = f"""raw AS (
 def feeds_cte(site: bool = False) -> str:
     k = "site, " if site else ""
     own = "user_id AS site, " if site else ""
-    owners = (
-        "owners AS (SELECT DISTINCT user_id AS site FROM events), " if site else ""
-    )
-    cross = "CROSS JOIN owners o" if site else ""
-    osite = "o.site, " if site else ""
-    on_site = "AND a.site = o.site" if site else ""
+    by_site = "GROUP BY user_id" if site else ""
+    of_grid = "g.site, " if site else ""
+    on_site = "AND a.site = g.site" if site else ""
     return f"""amounts AS (
   SELECT {own}{case('event_type', EVENT_FEED)} AS feed,
          time_bucket(INTERVAL 15 MINUTE, ts) AS ts, sum(CAST(value AS {KW})) AS amount
   FROM events WHERE event_type IN ({values(EVENT_FEED)}) GROUP BY ALL),
-span AS (SELECT date_trunc('hour', min(ts)) AS lo, max(ts) AS hi FROM events),
-grid AS (SELECT unnest(generate_series(lo, hi, INTERVAL 15 MINUTE)) AS ts FROM span),
-{owners}dense AS (
-  SELECT {osite}f.feed, g.ts, coalesce(a.amount, 0) AS amount
-  FROM grid g CROSS JOIN (VALUES ('building'), ('data_center')) f(feed) {cross}
+span AS (SELECT {own}date_trunc('hour', min(ts)) AS lo, max(ts) AS hi FROM events {by_site}),
+grid AS (SELECT {k}unnest(generate_series(lo, hi, INTERVAL 15 MINUTE)) AS ts FROM span),
+dense AS (
+  SELECT {of_grid}f.feed, g.ts, coalesce(a.amount, 0) AS amount
+  FROM grid g CROSS JOIN (VALUES ('building'), ('data_center')) f(feed)
   LEFT JOIN amounts a ON a.feed = f.feed AND a.ts = g.ts {on_site}),
 parts AS (
   SELECT {k}feed, ts, amount FROM dense

@@ -34,8 +34,13 @@ def rows_to_insert(
 def insert_ignore(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], order: str | None = None
 ) -> DataFrame:
-    """``target`` with the new keys of ``batch``; existing rows win."""
-    return target.unionByName(rows_to_insert(target, batch, keys, order))
+    """``target`` with the new keys of ``batch``; existing rows win.
+
+    Columns only the target has are NULL on the added rows.
+    """
+    return target.unionByName(
+        rows_to_insert(target, batch, keys, order), allowMissingColumns=True
+    )
 
 
 def upsert(
