@@ -86,23 +86,30 @@ def delta_by_window(readings: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def period_ends(readings: DataFrame, grain: str, keys: Sequence[str] = ()) -> DataFrame:
-    """The readings that open or close a period, found by a semi join.
+    """The readings that open or close a period; ``edge`` tells which.
 
-    ``edge`` tells which; a lone reading comes out once as each.
+    A lone reading comes out once as each. Every edge names a time once, so the
+    join with the edges is a semi join for either of them, in a single pass.
     """
     same = ["band", "dow"] if grain == "band" else []
     period = F.to_date("ts") if grain == "band" else cal.truncate("ts", grain)
-    ends = readings.groupBy(*keys, *same, period.alias("_period")).agg(
-        F.min("ts").alias("lo"), F.max("ts").alias("hi")
+    edges = (
+        readings.groupBy(*keys, *same, period.alias("_period"))
+        .agg(F.min("ts").alias("first"), F.max("ts").alias("last"))
+        .select(
+            *keys,
+            *same,
+            F.inline(
+                F.array(
+                    *[
+                        F.struct(F.col(e).alias("ts"), F.lit(e).alias("edge"))
+                        for e in ("first", "last")
+                    ]
+                )
+            ),
+        )
     )
-    firsts = ends.select(*keys, *same, F.col("lo").alias("ts"))
-    lasts = ends.select(*keys, *same, F.col("hi").alias("ts"))
-    on = [*keys, *same, "ts"]
-    tagged = [
-        readings.join(firsts, on, "left_semi").withColumn("edge", F.lit("first")),
-        readings.join(lasts, on, "left_semi").withColumn("edge", F.lit("last")),
-    ]
-    return tagged[0].unionByName(tagged[1])
+    return readings.join(edges, [*keys, *same, "ts"]).select(*readings.columns, "edge")
 
 
 def drop_empty(agg: DataFrame) -> DataFrame:

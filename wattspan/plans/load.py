@@ -1,9 +1,9 @@
 """The incremental load: feeds to readings, consumption tables, weather and flags.
 
-A batch's readings are shuffled and scanned once. Each hour's state is merged
-into the stored states, and every coarser table comes from those states, so the
-cost of a load follows its batch and the months it touches, not the history.
-Every step can be run again after a failure without changing the outcome.
+Each hour's state is merged into the stored states, and every table comes from
+those states, so the cost of a load follows its batch and the months it touches,
+not the history. Each step reads what the step before it stored, which cuts the
+lineage, and can be run again after a failure without changing the outcome.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ def _merge_states(
             return fresh
         return buckets.roll_state(stored.unionByName(fresh), "hour", keys)
 
-    tables.rewrite(spark, store.hour_state, span, change)
+    tables.rewrite(spark, store.hour_state, span, change, keys=keys)
 
 
 def _refresh(
@@ -76,7 +76,7 @@ def _refresh(
         hours = weather.where(tables.month_number("ts").between(*span))
         return wx.merge_weather(out, hours, grain, keys)
 
-    tables.rewrite(spark, store.agg(grain), span, change, _time(grain))
+    tables.rewrite(spark, store.agg(grain), span, change, _time(grain), keys)
 
 
 def _classify(spark: SparkSession, store: Store, keys: Sequence[str], **params) -> None:
@@ -87,20 +87,15 @@ def _classify(spark: SparkSession, store: Store, keys: Sequence[str], **params)
     """
     bands = tables.read(spark, store.agg("band"))
     flags = _staged(remote.band_flags(bands, keys, **params), "flags")
-    tables.rewrite(
-        spark, store.agg("band"), EVERY_MONTH, lambda t: remote.flag_bands(t, flags, keys), "day"
-    )
-    tables.rewrite(
-        spark, store.agg("day"), EVERY_MONTH, lambda t: remote.flag_days(t, flags, keys)
-    )
+
+    def update(grain: str, change) -> None:
+        tables.rewrite(spark, store.agg(grain), EVERY_MONTH, change, _time(grain), keys)
+
+    update("band", lambda t: remote.flag_bands(t, flags, keys))
+    update("day", lambda t: remote.flag_days(t, flags, keys))
     days = tables.read(spark, store.agg("day"))
-    for grain in ("month", "year"):
-        tables.rewrite(
-            spark,
-            store.agg(grain),
-            EVERY_MONTH,
-            lambda t, g=grain: remote.flag_periods(t, days, g, keys),
-        )
+    update("month", lambda t: remote.flag_periods(t, days, "month", keys))
+    update("year", lambda t: remote.flag_periods(t, days, "year", keys))
 
 
 def load(
@@ -118,21 +113,26 @@ def load(
     """
     spark = raw.sparkSession
     by = [*keys, "ts"]
-    rows = clean.dedup_feed(clean.align_feeds(raw, keys), [*keys, "feed", "ts"])
-    if tables.exists(spark, store.load_log):
-        rows = clean.new_rows(rows, load_log.read_log(spark, store.load_log))
-    new = _staged(rows, "new_rows")
-    span = tables.month_span(new)
+    log = load_log.read_log(spark, store.load_log) if tables.exists(spark, store.load_log) else None
+
+    def beyond(rows: DataFrame) -> DataFrame:
+        return rows if log is None else clean.new_rows(rows, log)
+
+    arrived = beyond(clean.align_feeds(raw, keys))
+    span = tables.month_span(arrived)
     if span is None:
         return False
-    tables.append_new(new.drop("seq"), store.feeds, [*keys, "feed", "ts"])
+    each = [*keys, "feed", "ts"]
+    tables.append_new(clean.dedup_feed(arrived, each).drop("seq"), store.feeds, each)
+    new = beyond(tables.months(spark, store.feeds, *span))
     tables.append_new(readings.office_load(new, keys), store.office, by)
-    joined = _staged(readings.join_readings(new, keys), "new_readings")
-    tables.append_new(joined, store.readings, by)
-    if not joined.isEmpty():
-        _merge_states(spark, store, joined, span, keys)
-        for grain in GRAINS:
-            _refresh(spark, store, grain, span, weather, keys)
-        _classify(spark, store, keys, **remote_params)
+    tables.append_new(readings.join_readings(new, keys), store.readings, by)
+    if tables.exists(spark, store.readings):
+        batch = beyond(tables.months(spark, store.readings, *span))
+        if not batch.isEmpty():
+            _merge_states(spark, store, batch, span, keys)
+            for grain in GRAINS:
+                _refresh(spark, store, grain, span, weather, keys)
+            _classify(spark, store, keys, **remote_params)
     load_log.append_log(load_log.log_entry(new, downloaded_at), store.load_log)
     return True

@@ -45,12 +45,17 @@ def months(spark: SparkSession, path: str, lo: int, hi: int) -> DataFrame:
     return spark.read.parquet(path).where(F.col(PERIOD).between(lo, hi)).drop(PERIOD)
 
 
-def _write(df: DataFrame, path: str, time: str, mode: str) -> None:
-    # Rebalancing gathers a month into few files, yet lets a crowded month
-    # spread over several tasks.
+def _write(df: DataFrame, path: str, time: str, keys: Sequence[str], mode: str) -> None:
+    # A day of one key's rows stays together, so that later hourly aggregation
+    # mostly finishes before its shuffle and time filters skip row groups. AQE
+    # joins small pieces and splits crowded ones.
+    together = [F.col(PERIOD), *[F.col(k) for k in keys if k != time], F.col("_day")]
     (
         df.withColumn(PERIOD, month_number(time))
-        .hint("rebalance", F.col(PERIOD))
+        .withColumn("_day", F.to_date(time))
+        .hint("rebalance", *together)
+        .drop("_day")
+        .sortWithinPartitions(PERIOD, time)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PERIOD)
@@ -73,7 +78,7 @@ def append_new(
         rows = merge.rows_to_insert(months(spark, path, *span), batch, keys, order)
     else:
         rows = merge.one_per_key(batch, keys, order)
-    _write(rows, path, time, "append")
+    _write(rows, path, time, keys, "append")
 
 
 def rewrite(
@@ -82,6 +87,7 @@ def rewrite(
     span: tuple[int, int],
     change: Callable[[DataFrame | None], DataFrame],
     time: str = "ts",
+    keys: Sequence[str] = (),
 ) -> None:
     """Replace the months of ``span`` by ``change`` of their stored rows.
 
@@ -89,7 +95,7 @@ def rewrite(
     within the span.
     """
     stored = months(spark, path, *span) if exists(spark, path) else None
-    _write(change(stored), path, time, "overwrite")
+    _write(change(stored), path, time, keys, "overwrite")
 
 
 def append(df: DataFrame, path: str) -> None:
