@@ -209,6 +209,10 @@ combined AS (
   FROM e FULL OUTER JOIN dc ON e.ts = dc.ts FULL OUTER JOIN pv ON coalesce(e.ts, dc.ts) = pv.ts)
 SELECT ts, CAST(sum(kilowatt) AS {KW}) AS kilowatt FROM combined GROUP BY ts"""
 SQL["join_readings"] = f"WITH {READINGS} SELECT * FROM readings"
+DEDUPED = f"""{RAW}, feeds AS (SELECT feed, ts, kilowatt FROM raw
+  QUALIFY row_number() OVER (PARTITION BY feed, ts ORDER BY seq) = 1)"""
+SQL["raw_readings"] = f"WITH {DEDUPED}, {readings_cte()} SELECT * FROM readings"
+SQL["feed_roundtrip"] = f"WITH {DEDUPED} SELECT * FROM feeds"
 SQL["time_band"] = f"""SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour, {band_of('ts')} AS band FROM events"""
 SQL["calendar_parts"] = f"""SELECT event_id, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
   CAST(day(ts) AS INTEGER) AS day, CAST(hour(ts) AS INTEGER) AS hour, {sun0('ts')} AS dow_sun0,
@@ -282,10 +286,15 @@ SQL["weather_band_last"] = f"WITH {WEATHER} {LAST_OF_BAND.format(columns=VARS)}"
 SQL["weather_band_mean"] = f"""WITH {WEATHER}
 SELECT CAST(ts AS DATE) AS day, {band_of('ts')} AS band, {MEANS} FROM weather GROUP BY 1, 2"""
 
-HOUR_WITH_WEATHER = f"""agg_hour AS (
+# Hours without weather between the first and the last are bins of their own.
+HOUR_WITH_WEATHER = f"""spine AS (
+  SELECT unnest(generate_series(min(ts), max(ts), INTERVAL 1 HOUR)) AS ts FROM {{weather}}),
+bins AS (SELECT spine.ts, {band_of('x.ts')} AS band, {VARS}
+         FROM spine LEFT JOIN {{weather}} x ON spine.ts = x.ts),
+agg_hour AS (
   SELECT coalesce(h.ts, w.ts) AS ts, building, data_center, solar, office, dow,
-         {band_of('w.ts')} AS band, {ROUNDED}
-  FROM {{table}} h FULL OUTER JOIN {{weather}} w ON h.ts = w.ts)"""
+         band, {ROUNDED}
+  FROM {{table}} h FULL OUTER JOIN bins w ON h.ts = w.ts)"""
 FULL_HOUR = f"{READINGS}, {table_cte('hour')}, {WEATHER}, " + HOUR_WITH_WEATHER.format(
     table="hour", weather="weather"
 )

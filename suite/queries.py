@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from suite import derive
@@ -222,6 +221,20 @@ def join_readings(spark, sf):
     return readings_of(spark, sf)
 
 
+@query
+def raw_readings(spark, sf):
+    """Duplicates dropped and feeds joined in one shuffle of the raw rows."""
+    wide = readings.side_by_side(derive.parsed_feed(spark, sf), order="seq")
+    return readings.readings_of(wide)
+
+
+@query
+def feed_roundtrip(spark, sf):
+    """Deduplicated feeds by way of their side-by-side form."""
+    wide = readings.side_by_side(derive.parsed_feed(spark, sf), order="seq")
+    return readings.feed_rows(wide)
+
+
 @query
 def time_band(spark, sf):
     ev = derive.table(spark, sf, "events")
@@ -501,7 +514,6 @@ def _labelled(spark, sf):
 
 def _prepared(spark, sf):
     train, test = model.split(_labelled(spark, sf))
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     scaler, vectors = model.fit_scaler(train), model.assembler()
 
     def ready(df):

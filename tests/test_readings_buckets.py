@@ -62,6 +62,14 @@ def test_readings_equal_the_join_form(gappy):
     same_rows(readings.join_readings(gappy).select(*joined.columns), joined)
 
 
+def test_duplicates_drop_in_the_same_shuffle(gappy, feed_rows):
+    later = feed_rows(("building", "2024-01-01 00:00:00", 999), ("building", "2024-01-01 05:00:00", 7))
+    doubled = gappy.unionByName(later.withColumn("seq", F.col("seq") + 1000))
+    wide = readings.side_by_side(doubled, order="seq")
+    same_rows(wide, readings.side_by_side(gappy))
+    same_rows(readings.feed_rows(wide), gappy.drop("seq"))
+
+
 def test_readings_take_one_shuffle(spark, gappy, tmp_path):
     gappy.write.parquet(str(tmp_path / "f"))
     plan = readings.join_readings(spark.read.parquet(str(tmp_path / "f")))._jdf.queryExecution().executedPlan().toString()

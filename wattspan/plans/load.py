@@ -119,14 +119,21 @@ def load(
         return rows if log is None else clean.new_rows(rows, log)
 
     arrived = beyond(clean.align_feeds(raw, keys))
-    span = tables.month_span(arrived)
-    if span is None:
+    times = tables.time_span(arrived)
+    if times is None:
         return False
-    each = [*keys, "feed", "ts"]
-    tables.append_new(clean.dedup_feed(arrived, each).drop("seq"), store.feeds, each)
-    new = beyond(tables.months(spark, store.feeds, *span))
-    tables.append_new(readings.office_load(new, keys), store.office, by)
-    tables.append_new(readings.join_readings(new, keys), store.readings, by)
+    span = tables.month_span(times)
+    # One shuffle of the raw rows drops duplicates and brings the feeds side by
+    # side; the three tables are projections of its result.
+    staged = shared_dir(spark, "side_by_side")
+    tables.append_new(readings.side_by_side(arrived, keys, order="seq"), staged, by)
+    wide = tables.read(spark, staged)
+    for rows, path, unique in (
+        (readings.feed_rows(wide, keys), store.feeds, [*keys, "feed", "ts"]),
+        (readings.office_of(wide, keys), store.office, by),
+        (readings.readings_of(wide, keys), store.readings, by),
+    ):
+        tables.append_new(rows, path, unique, gather=False)
     if tables.exists(spark, store.readings):
         batch = beyond(tables.months(spark, store.readings, *span))
         if not batch.isEmpty():
@@ -134,5 +141,5 @@ def load(
             for grain in GRAINS:
                 _refresh(spark, store, grain, span, weather, keys)
             _classify(spark, store, keys, **remote_params)
-    load_log.append_log(load_log.log_entry(new, downloaded_at), store.load_log)
+    load_log.append_log(load_log.log_entry(wide, downloaded_at), store.load_log)
     return True

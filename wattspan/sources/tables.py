@@ -32,30 +32,34 @@ def month_number(time):
     return (F.year(time) * 100 + F.month(time)).cast("int")
 
 
-def month_span(batch: DataFrame, time: str = "ts") -> tuple[int, int] | None:
-    """First and last month of a batch: two numbers, so that the scan can prune."""
-    row = batch.agg(
-        month_number(F.min(time)).alias("lo"), month_number(F.max(time)).alias("hi")
-    ).first()
+def time_span(batch: DataFrame, time: str = "ts"):
+    """First and last time of a batch, or None: two values, so that scans can prune."""
+    row = batch.agg(F.min(time).alias("lo"), F.max(time).alias("hi")).first()
     return None if row["lo"] is None else (row["lo"], row["hi"])
 
 
+def month_span(times) -> tuple[int, int]:
+    lo, hi = times
+    return lo.year * 100 + lo.month, hi.year * 100 + hi.month
+
+
 def months(spark: SparkSession, path: str, lo: int, hi: int) -> DataFrame:
     """The stored rows of the months from ``lo`` to ``hi``."""
     return spark.read.parquet(path).where(F.col(PERIOD).between(lo, hi)).drop(PERIOD)
 
 
-def _write(df: DataFrame, path: str, time: str, keys: Sequence[str], mode: str) -> None:
-    # A day of one key's rows stays together, so that later hourly aggregation
-    # mostly finishes before its shuffle and time filters skip row groups. AQE
-    # joins small pieces and splits crowded ones.
-    together = [F.col(PERIOD), *[F.col(k) for k in keys if k != time], F.col("_day")]
+def _write(
+    df: DataFrame, path: str, time: str, keys: Sequence[str], mode: str, gather: bool = True
+) -> None:
+    out = df.withColumn(PERIOD, month_number(time))
+    if gather:
+        # A day of one key's rows stays together, so that later hourly aggregation
+        # mostly finishes before its shuffle and time filters skip row groups. AQE
+        # joins small pieces and splits crowded ones.
+        together = [F.col(PERIOD), *[F.col(k) for k in keys if k != time], F.col("_day")]
+        out = out.withColumn("_day", F.to_date(time)).hint("rebalance", *together).drop("_day")
     (
-        df.withColumn(PERIOD, month_number(time))
-        .withColumn("_day", F.to_date(time))
-        .hint("rebalance", *together)
-        .drop("_day")
-        .sortWithinPartitions(PERIOD, time)
+        out.sortWithinPartitions(PERIOD, time)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PERIOD)
@@ -64,21 +68,29 @@ def _write(df: DataFrame, path: str, time: str, keys: Sequence[str], mode: str)
 
 
 def append_new(
-    batch: DataFrame, path: str, keys: Sequence[str], time: str = "ts", order: str | None = None
+    batch: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    time: str = "ts",
+    order: str | None = None,
+    gather: bool = True,
 ) -> None:
     """Append the rows whose keys the table does not hold; stored rows win.
 
-    Running it again with the same batch adds nothing.
+    Running it again with the same batch adds nothing. Only stored rows within
+    the batch's times are looked at; usually there are none, and the batch is
+    written without a join. ``gather=False`` keeps the batch's own layout.
     """
     spark = batch.sparkSession
-    span = month_span(batch, time)
-    if span is None:
+    times = time_span(batch, time)
+    if times is None:
         return
+    rows = merge.one_per_key(batch, keys, order)
     if exists(spark, path):
-        rows = merge.rows_to_insert(months(spark, path, *span), batch, keys, order)
-    else:
-        rows = merge.one_per_key(batch, keys, order)
-    _write(rows, path, time, keys, "append")
+        stored = months(spark, path, *month_span(times)).where(F.col(time).between(*times))
+        if not stored.isEmpty():
+            rows = merge.rows_to_insert(stored, rows, keys)
+    _write(rows, path, time, keys, "append", gather)
 
 
 def rewrite(
