@@ -67,7 +67,9 @@ def _cents(column: str):
 
 def _register(amounts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Running meter register from whole hundredths per (keys, ts)."""
-    amounts = amounts.withColumn("_day", F.to_date("ts"))
+    # The join below implies this filter for one of its sides; stated here, both
+    # sides read the same shuffle.
+    amounts = amounts.withColumn("_day", F.to_date("ts")).where(F.col("_day").isNotNull())
     before = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     days = (
         amounts.groupBy(*keys, "_day")

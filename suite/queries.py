@@ -168,11 +168,9 @@ def archive_window(spark, sf):
 
 @query
 def ramp_feed(spark, sf):
-    """A ramp per feed over the span of its events, starting at the size of its first total."""
-    spans = derive.parsed_feed(spark, sf).groupBy("feed").agg(
-        F.min("ts").alias("start"), F.max("ts").alias("end"), F.sum("kilowatt").alias("total")
-    )
-    return ramp.ramp_feed(spans.select("feed", "start", "end"), F.lit(100000), F.lit("0.41").cast("decimal(4,2)"))
+    """A ramp per feed over the span of its events."""
+    spans = clean.load_window(derive.parsed_feed(spark, sf))
+    return ramp.ramp_feed(spans, F.lit(100000), F.lit("0.41").cast("decimal(4,2)"))
 
 
 # Cleaning ------------------------------------------------------------------------

@@ -78,7 +78,7 @@ def test_office_counts_missing_as_zero(spark):
     assert str(df.select(energy.office("b", "d", "s")).first()[0]) == "11.25"
 
 
-def reference_heat(t, rh):
+def published_heat(t, rh):
     """Straight evaluation of the published regression, for a check value."""
     if t < 80 or rh < 40:
         return t
@@ -98,7 +98,7 @@ def test_heat_index(spark, celsius, rh):
     df = spark.createDataFrame([(float(celsius), float(rh), 0.0)],
                                "temperature_2m double, relative_humidity_2m double, wind_speed_10m double")
     got = df.select(comfort.weather_indices()["heat_index"]).first()[0]
-    assert got == pytest.approx(reference_heat(celsius * 9 / 5 + 32, rh), rel=1e-12)
+    assert got == pytest.approx(published_heat(celsius * 9 / 5 + 32, rh), rel=1e-12)
 
 
 @pytest.mark.parametrize("celsius,wind,chilled", [(5, 10, True), (5, 1, False), (10.1, 10, False), (10, 10, True)])

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -171,6 +172,8 @@ def test_load_in_one_go(spark, stored):
     assert all(r["remote_pct"] for r in month.where("building IS NOT NULL").collect())
     assert tables.read(spark, store.agg("hour")).where("building IS NULL").count() == 24
     assert not plan.load(raw, store, month_weather)
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert not [n for n in os.listdir(base) if n.startswith(("side_by_side", "flags"))]
 
 
 def test_second_load_keeps_first_buckets(spark, stored, tmp_path):
@@ -197,6 +200,16 @@ def test_second_load_keeps_first_buckets(spark, stored, tmp_path):
     assert full["building"] > early
 
 
+def test_load_that_moves_no_meter(spark, feed_rows, tmp_path):
+    store = Store(str(tmp_path / "still"))
+    still = feed_rows(*[(f, "2024-01-01 10:00:00", 5) for f in ("building", "data_center")])
+    assert plan.load(still, store)
+    assert not tables.exists(spark, store.agg("hour")) and tables.read(spark, store.readings).count() == 1
+    more = feed_rows(*[(f, f"2024-01-01 10:{m}:00", m) for f in ("building", "data_center") for m in (10, 40)])
+    assert plan.load(still.unionByName(more.withColumn("seq", F.col("seq") + 100)), store)
+    assert str(tables.read(spark, store.agg("hour")).first()["building"]) == "35.00"
+
+
 def test_load_by_site(spark, stored, tmp_path):
     raw, weather_hours, alone = stored
     two = raw.withColumn("site", F.lit(1)).unionByName(raw.withColumn("site", F.lit(2)))

@@ -15,20 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wattspan.functions.calendar import GRAINS
 from wattspan.operators import buckets, clean, merge, readings, remote, weather as wx
 from wattspan.plans.store import Store
-from wattspan.session import shared_dir
+from wattspan.session import discard, shared_dir
 from wattspan.sources import load_log, tables
 
 EVERY_MONTH = (0, 999912)
 
 
-def _staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, used often."""
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _time(grain: str) -> str:
     return "day" if grain == "band" else "ts"
 
@@ -85,17 +77,23 @@ def _classify(spark: SparkSession, store: Store, keys: Sequence[str], **params)
     The threshold depends on all days, so all flags are set anew; these tables
     hold a few rows per day.
     """
-    bands = tables.read(spark, store.agg("band"))
-    flags = _staged(remote.band_flags(bands, keys, **params), "flags")
+    if not tables.exists(spark, store.agg("band")):
+        return
+    flags_path = shared_dir(spark, "flags")
+    remote.band_flags(tables.read(spark, store.agg("band")), keys, **params).write.parquet(flags_path)
+    flags = spark.read.parquet(flags_path)
 
     def update(grain: str, change) -> None:
-        tables.rewrite(spark, store.agg(grain), EVERY_MONTH, change, _time(grain), keys)
+        if tables.exists(spark, store.agg(grain)):
+            tables.rewrite(spark, store.agg(grain), EVERY_MONTH, change, _time(grain), keys)
 
     update("band", lambda t: remote.flag_bands(t, flags, keys))
     update("day", lambda t: remote.flag_days(t, flags, keys))
-    days = tables.read(spark, store.agg("day"))
-    update("month", lambda t: remote.flag_periods(t, days, "month", keys))
-    update("year", lambda t: remote.flag_periods(t, days, "year", keys))
+    if tables.exists(spark, store.agg("day")):
+        days = tables.read(spark, store.agg("day"))
+        update("month", lambda t: remote.flag_periods(t, days, "month", keys))
+        update("year", lambda t: remote.flag_periods(t, days, "year", keys))
+    discard(spark, flags_path)
 
 
 def load(
@@ -142,4 +140,5 @@ def load(
                 _refresh(spark, store, grain, span, weather, keys)
             _classify(spark, store, keys, **remote_params)
     load_log.append_log(load_log.log_entry(wide, downloaded_at), store.load_log)
+    discard(spark, staged)
     return True

@@ -96,6 +96,7 @@ LOAD_LOG = T.StructType(
     ]
 )
 
+# Columns of a forecast file.
 FORECAST_SAMPLE = T.StructType(
     [
         T.StructField("data", T.StringType()),

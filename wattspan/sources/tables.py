@@ -17,8 +17,13 @@ PERIOD = "period"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    """Whether a table has been written with at least one row."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return False
+    names = (entry.getPath().getName() for entry in fs.listStatus(folder))
+    return any(not name.startswith(("_", ".")) for name in names)
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
