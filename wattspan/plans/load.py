@@ -124,14 +124,16 @@ def load(
     # One shuffle of the raw rows drops duplicates and brings the feeds side by
     # side; the three tables are projections of its result.
     staged = shared_dir(spark, "side_by_side")
-    tables.append_new(readings.side_by_side(arrived, keys, order="seq"), staged, by)
+    tables.append_new(
+        readings.side_by_side(arrived, keys, order="seq"), staged, by, times=times
+    )
     wide = tables.read(spark, staged)
     for rows, path, unique in (
         (readings.feed_rows(wide, keys), store.feeds, [*keys, "feed", "ts"]),
         (readings.office_of(wide, keys), store.office, by),
         (readings.readings_of(wide, keys), store.readings, by),
     ):
-        tables.append_new(rows, path, unique, gather=False)
+        tables.append_new(rows, path, unique, gather=False, times=times)
     if tables.exists(spark, store.readings):
         batch = beyond(tables.months(spark, store.readings, *span))
         if not batch.isEmpty():

@@ -79,15 +79,17 @@ def append_new(
     time: str = "ts",
     order: str | None = None,
     gather: bool = True,
+    times=None,
 ) -> None:
     """Append the rows whose keys the table does not hold; stored rows win.
 
     Running it again with the same batch adds nothing. Only stored rows within
     the batch's times are looked at; usually there are none, and the batch is
     written without a join. ``gather=False`` keeps the batch's own layout.
+    ``times``, a span that holds the batch, saves finding it out.
     """
     spark = batch.sparkSession
-    times = time_span(batch, time)
+    times = times or time_span(batch, time)
     if times is None:
         return
     rows = merge.one_per_key(batch, keys, order)
