@@ -138,13 +138,18 @@ def deduplicated(docs: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
 
     A document that keeps no line stays, with an empty text.
     """
-    found = with_bitmaps(docs, min_length)
-    rest = kept_text(F.col("text"), F.col("keep"))
-    found = found.withColumn("text", rest)
-    if "n_chars" in docs.columns:
-        changed = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        found = found.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
-    return found.select(*docs.columns)
+    rest = F.struct(*[c for c in docs.columns if c not in ("doc_id", "text")]).alias("_llm_rest")
+    found = with_bitmaps(docs.select("doc_id", "text", rest), min_length).withColumn(
+        "text", kept_text(F.col("text"), F.col("keep"))
+    )
+    length = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("_llm_rest.n_chars"))
+
+    def column(name: str) -> Column:
+        if name == "n_chars":
+            return length.cast(docs.schema[name].dataType).alias(name)
+        return F.col(name if name in ("doc_id", "text") else f"_llm_rest.`{name}`")
+
+    return found.select(*map(column, docs.columns))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

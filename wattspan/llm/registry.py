@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from wattspan.llm import lines, sharding
+from wattspan.llm import lines, sharding, simhash
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
+    "op2_simhash": simhash.op2_simhash,
     "op7_shards": sharding.op7_shards,
 }
 
