@@ -1 +1,9 @@
 """Operators for preparing training text: ten operators and the queries that apply them."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors with their code, so the package need
+# not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
