@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from wattspan.llm import lines, quality, sharding, simhash
+from wattspan.llm import lines, quality, sharding, simhash, tokens
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
     "op2_simhash": simhash.op2_simhash,
     "op7_shards": sharding.op7_shards,
+    "op9_tokens": tokens.op9_tokens,
     "op10_quality": quality.op10_quality,
 }
 

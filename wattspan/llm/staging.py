@@ -61,3 +61,13 @@ def partitions(spark: SparkSession) -> int:
 
 def chunks_for(rows: int, per_chunk: int) -> int:
     return max(1, math.ceil(rows / per_chunk))
+
+
+def worker_store(name: str) -> dict:
+    """A dictionary that lives as long as the Python worker, for results worth keeping between
+    tasks. Users bound its size."""
+    import sys
+    import types
+
+    module = sys.modules.setdefault("_llm_worker_store", types.ModuleType("_llm_worker_store"))
+    return module.__dict__.setdefault(name, {})
