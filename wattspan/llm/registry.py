@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from wattspan.llm import lines, quality, sharding, simhash, tokens
+from wattspan.llm import decontaminate, lines, packing, quality, sharding, simhash, tokens, topk
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
     "op2_simhash": simhash.op2_simhash,
+    "op5_topk": topk.op5_topk,
+    "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_shards": sharding.op7_shards,
+    "op8_packing": packing.op8_packing,
     "op9_tokens": tokens.op9_tokens,
     "op10_quality": quality.op10_quality,
 }
 
-SQL = {"op1_line_dedup": lines.OP1_SQL}
+SQL = {"op1_line_dedup": lines.OP1_SQL, "op5_topk": topk.OP5_SQL}
