@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from wattspan.llm import decontaminate, lines, packing, quality, sharding, simhash, tokens, topk, toxicity
+from wattspan.llm import decontaminate, lines, packing, quality, sharding, simhash, surrogates, tokens, topk, toxicity
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
     "op2_simhash": simhash.op2_simhash,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_surrogates": surrogates.op4_surrogates,
     "op5_topk": topk.op5_topk,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_shards": sharding.op7_shards,
