@@ -4,15 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattspan.llm import lines
+from wattspan.llm import decontaminate, lines, packing, quality, simhash
 from wattspan.llm.staging import staged, table
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, fitted on the labels of these documents, accepts."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that an earlier one holds; none is dropped as a whole."""
     return lines.deduplicated(docs)
 
 
-STAGES = [("line dedup", line_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity 0.8."""
+    return simhash.one_of_each(docs, words=5, similarity=0.8)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The bin, offset and capacity of every piece of the documents that are left."""
+    return packing.pack_texts(docs)
+
+
+STAGES = [
+    ("quality classifier", good_quality),
+    ("line dedup", line_dedup),
+    ("SimHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontaminated),
+    ("best-fit packing", packed),
+]
+
+# The classifier, the fingerprints and the packing have no SQL counterpart.
 ORACLE_SQL = None
 
 

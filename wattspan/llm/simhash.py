@@ -13,6 +13,12 @@ words that link always meet. An anchor has at most 2,081 words within two bits
 Equal texts and equal fingerprints are brought together before that. Words of
 an anchor arrive sorted in one stream; an anchor's links are thinned to a
 spanning forest of them, which keeps every component.
+
+Copies by a share of shingles (0.8 and more) differ in more bits than anchors
+can cover at once. For them a text has several fingerprints, drawn from the same
+shingles by remixed hashes: the first two (128 bits) judge a pair, by the angle
+that the share implies; the others, cut into 32-bit words, bring pairs together
+at the anchors of any word. Ten words miss few pairs (README).
 """
 
 from __future__ import annotations
@@ -22,10 +28,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from wattspan.llm.components import components
-from wattspan.llm.staging import partitions, staged, table, text_of
+from wattspan.llm.staging import id_or_last, partitions, staged, table, text_of
 
 SEED = 42
 #: Shingles whose bits are counted at once; memory stays bounded for any text.
@@ -66,6 +72,15 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(bits).tobytes(), "big")
 
 
+def remixed(hashes: np.ndarray, lane: int) -> np.ndarray:
+    """Other hashes of the same shingles; lane 0 has the hashes themselves."""
+    if not lane:
+        return hashes
+    out = hashes * np.uint64(2 * lane * 0x9E3779B97F4A7C15 + 1 & 2**64 - 1)
+    out = (out ^ out >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+    return out ^ out >> np.uint64(32)
+
+
 def fingerprints(docs: DataFrame, words: int) -> DataFrame:
     """doc_id and fingerprint (a long with the same bits); a text without words gets 0."""
 
@@ -119,16 +134,19 @@ def anchors(values: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def spanning(values: np.ndarray, threshold: int) -> list[tuple[int, int]]:
-    """Pairs of places that join all values linked directly or through others."""
+    """Pairs of places that join all values linked directly or through others.
+
+    A value is a row of one or more fingerprints; their differing bits are summed.
+    """
     left, pairs = np.arange(1, len(values)), []
     queue = [0]
     while len(left) or queue:
         if not queue:
             queue, left = [int(left[0])], left[1:]
         at = queue.pop()
-        near = np.bitwise_count(values[left] ^ values[at]) <= threshold
-        reached = left[near].tolist()
-        left = left[~near]
+        apart = np.bitwise_count(values[left] ^ values[at]).sum(axis=1, dtype=np.int64)
+        reached = left[apart <= threshold].tolist()
+        left = left[apart > threshold]
         pairs += [(at, x) for x in reached]
         queue += reached
     return pairs
@@ -154,6 +172,36 @@ def runs(
         yield tuple(kept)
 
 
+def forests(
+    batches: Iterator[pa.RecordBatch], lanes: int, threshold: int
+) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) from batches sorted by anchor, with ``lanes`` fingerprints behind it."""
+    for anchor, *prints in runs(batches, lanes + 1):
+        values = np.stack(prints, axis=1).view(np.uint64)
+        starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
+        ends = np.r_[starts[1:], len(anchor)]
+        many = ends - starts > 1
+        a, b = [], []
+        for lo, hi in zip(starts[many], ends[many]):
+            for x, y in spanning(values[lo:hi], threshold):
+                a.append(prints[0][lo + x])
+                b.append(prints[0][lo + y])
+        if a:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
+            )
+
+
+def compared(replicas: DataFrame, lanes: int, threshold: int) -> DataFrame:
+    """Links between the replicas (anchor, then fingerprints) that meet at an anchor."""
+    return (
+        replicas.repartition(partitions(replicas.sparkSession), "anchor")
+        .sortWithinPartitions("anchor")
+        .mapInArrow(lambda found: forests(found, lanes, threshold), "a bigint, b bigint")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    )
+
+
 def near_links(prints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Links (a, b) between distinct fingerprints (column fp), enough to join every component."""
     if threshold not in (1, 2):
@@ -170,28 +218,8 @@ def near_links(prints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
                     names=["anchor", "fp"],
                 )
 
-    def compare(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for anchor, fp in runs(found, 2):
-            starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
-            ends = np.r_[starts[1:], len(anchor)]
-            a, b = [], []
-            for lo, hi in zip(*(x[ends - starts > 1] for x in (starts, ends))):
-                for x, y in spanning(fp[lo:hi].view(np.uint64), threshold):
-                    a.append(fp[lo + x])
-                    b.append(fp[lo + y])
-            if a:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
-                )
-
-    return (
-        prints.select("fp")
-        .mapInArrow(replicate, "anchor bigint, fp bigint")
-        .repartition(partitions(prints.sparkSession), "anchor")
-        .sortWithinPartitions("anchor")
-        .mapInArrow(compare, "a bigint, b bigint")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    )
+    replicas = prints.select("fp").mapInArrow(replicate, "anchor bigint, fp bigint")
+    return compared(replicas, 1, threshold)
 
 
 def classes(docs: DataFrame, words: int, threshold: int = THRESHOLD) -> DataFrame:
@@ -211,7 +239,82 @@ def classes(docs: DataFrame, words: int, threshold: int = THRESHOLD) -> DataFram
     by_print = firsts.join(moved, "fp", "left").select(
         "fp", F.coalesce("least_id", "first_id").alias("component_id")
     )
-    return prints.join(by_print, "fp")
+    # Written first: a join of two plain tables is one that Spark can split at common values.
+    return prints.join(staged(by_print, "print-classes"), "fp")
+
+
+#: Fingerprints of a text where copies go by a share of shingles: two judge, the rest find.
+LANES, JUDGES = 7, 2
+
+
+def differing_bits(similarity: float) -> int:
+    """Bits of the judging fingerprints in which texts of that Jaccard similarity differ, and one
+    standard deviation more, so that most texts just as similar are linked."""
+    cosine = 2 * similarity / (1 + similarity)
+    p, bits = np.arccos(cosine) / np.pi, 64 * JUDGES
+    return int(bits * p + (bits * p * (1 - p)) ** 0.5)
+
+
+def lane_prints(docs: DataFrame, words: int, *others) -> DataFrame:
+    """The named columns and ``prints``, the fingerprints of all lanes."""
+
+    @F.pandas_udf("array<bigint>")
+    def found(texts):
+        def of(text: str) -> np.ndarray:
+            hashes = shingle_hashes(text, words)
+            prints = [fingerprint(remixed(hashes, lane)) for lane in range(LANES)]
+            return np.array(prints, np.uint64).view(np.int64)
+
+        return texts.map(of)
+
+    return docs.select(*others, found(text_of()).alias("prints"))
+
+
+def copy_links(firsts: DataFrame, similarity: float) -> DataFrame:
+    """Links between the first fingerprints of rows (prints) that are similar enough."""
+
+    def replicate(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            prints = np.array(batch.column(0).to_pylist(), np.int64).reshape(-1, LANES)
+            for at in range(0, len(prints), 1024):
+                part = prints[at : at + 1024]
+                for lane in range(JUDGES, LANES):
+                    lane_values = part[:, lane].view(np.uint64)
+                    for side in (0, 1):
+                        values = lane_values >> np.uint64(32 * side) & np.uint64(2**32 - 1)
+                        index, anchor = anchors(values, 5)
+                        anchor |= np.uint64(2 * lane + side << 32)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(anchor.view(np.int64)),
+                                *(pa.array(part[index, j]) for j in range(JUDGES)),
+                            ],
+                            names=["anchor", "p0", "p1"],
+                        )
+
+    replicas = firsts.select("prints").mapInArrow(replicate, "anchor bigint, p0 bigint, p1 bigint")
+    return compared(replicas, JUDGES, differing_bits(similarity))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One document of each group of near copies, the one of the smallest id, as it came.
+
+    Nulls: a null text is an empty one, and all texts without words are one
+    group; a null id comes behind all others. Of rows that repeat an id and a
+    text one stays. Further columns pass through.
+    """
+    row = F.xxhash64(id_or_last(), text_of()).alias("row")
+    first = F.struct(id_or_last().alias("id"), row).alias("first")
+    found = lane_prints(docs, words, first).withColumn("fp", F.col("prints")[0])
+    found = staged(found, "prints").groupBy("fp")
+    firsts = staged(found.agg(F.min("first").alias("first"), F.min("prints").alias("prints")), "firsts")
+    links = copy_links(firsts.repartition("fp"), similarity)
+    roots = components(links, "copies").withColumnRenamed("node", "fp")
+    of_class = firsts.drop("prints").join(roots, "fp", "left").groupBy(F.coalesce("root", "fp"))
+    kept = of_class.agg(F.min("first").alias("first")).select("first.row")
+    keyed = docs.select(row, F.struct("*").alias("whole")).hint("merge").join(kept, "row")
+    again = F.row_number().over(Window.partitionBy("row").orderBy("row"))
+    return keyed.withColumn("again", again).where("again = 1").select("whole.*")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
