@@ -8,19 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from wattspan.functions import calendar as cal
 from wattspan.schema import KW, WEATHER_VARS
 
 # Which event type or return flag plays which meter feed.
-EVENT_FEED = {"view": "building", "click": "data_center", "purchase": "solar"}
+EVENT_FEED = {
+    "view": "building",
+    "signup": "building",
+    "click": "data_center",
+    "error": "data_center",
+    "purchase": "solar",
+}
 FLAG_FEED = {"N": "building", "A": "data_center", "R": "solar"}
 
-# Registers start again at this reading, so that totals fit the declared type
-# at any table size.
-REGISTER = 40_000_000
-
 # Modulus and offset of every derived weather variable, in variable order.
 WEATHER_RANGE = (
     (45, -5), (101, 0), (30, -10), (50, -10), (8, 0), (7, 0), (3, 0), (2, 0),
@@ -46,8 +48,7 @@ def _feed_of(column: str, mapping: dict[str, str]):
 
 def raw_feed(spark: SparkSession, sf: str) -> DataFrame:
     """Raw readings as text rows with duplicates on their quarter hour."""
-    ev = table(spark, sf, "events").where(F.col("event_type").isin(*EVENT_FEED))
-    return ev.select(
+    return table(spark, sf, "events").select(
         _feed_of("event_type", EVENT_FEED).alias("feed"),
         F.col("event_id").alias("seq"),
         F.date_format(cal.floor_minutes("ts", 15), cal.TEXT_FORMAT).alias("Date"),
@@ -66,7 +67,11 @@ def _cents(column: str):
 
 
 def _register(amounts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Running meter register from whole hundredths per (keys, ts)."""
+    """Running meter register from whole hundredths per (keys, ts).
+
+    The totals before each day run over the days of one feed in one task: as many rows as the
+    calendar has days.
+    """
     # The join below implies this filter for one of its sides; stated here, both
     # sides read the same shuffle.
     amounts = amounts.withColumn("_day", F.to_date("ts")).where(F.col("_day").isNotNull())
@@ -82,25 +87,14 @@ def _register(amounts: DataFrame, keys: Sequence[str]) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     running = amounts.withColumn("_run", F.sum("cents").over(within)).join(days, [*keys, "_day"])
-    register = (F.col("_before") + F.col("_run")) % F.lit(REGISTER * 100)
+    register = (F.col("_before") + F.col("_run")).cast("decimal(18,0)")
     hundredth = F.lit("0.01").cast("decimal(2,2)")
-    return running.select(
-        *keys, "ts", (register.cast("decimal(12,0)") * hundredth).cast(KW).alias("kilowatt")
-    )
-
+    return running.select(*keys, "ts", (register * hundredth).cast(KW).alias("kilowatt"))
 
-def meter_feeds(spark: SparkSession, sf: str, site: str | None = None) -> DataFrame:
-    """Cumulative feeds on a quarter-hour grid; solar only where it has events.
 
-    With ``site`` every value of that events column is a site of its own, and its
-    grid spans its own events.
-    """
-    ev = table(spark, sf, "events")
-    keys = ["site"] if site else []
-    who = [F.col(site).alias("site")] if site else []
-    owners = ev.groupBy(*who).agg(
-        cal.truncate(F.min("ts"), "hour").alias("lo"), F.max("ts").alias("hi")
-    )
+def _slots_between(events: DataFrame, tasks: int) -> DataFrame:
+    """Every quarter hour from the first event's hour to the last event."""
+    span = events.agg(cal.truncate(F.min("ts"), "hour").alias("lo"), F.max("ts").alias("hi"))
     days = F.sequence(cal.truncate("lo", "day"), F.col("hi"), F.expr("INTERVAL 1 DAY"))
     slots = F.sequence(
         F.col("_day"),
@@ -108,21 +102,41 @@ def meter_feeds(spark: SparkSession, sf: str, site: str | None = None) -> DataFr
         F.expr("INTERVAL 15 MINUTE"),
     )
     # The days are spread over tasks before they unfold into slots.
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    grid = (
-        owners.select(*keys, "lo", "hi", F.explode(days).alias("_day"))
-        .repartition(tasks, *keys, "_day")
-        .select(*keys, "lo", "hi", F.explode(slots).alias("ts"))
+    return (
+        span.select("lo", "hi", F.explode(days).alias("_day"))
+        .repartition(tasks, "_day")
+        .select("lo", "hi", F.explode(slots).alias("ts"))
         .where((F.col("ts") >= F.col("lo")) & (F.col("ts") <= F.col("hi")))
-        .select(
-            *keys,
-            F.explode(F.array(F.lit("building"), F.lit("data_center"))).alias("feed"),
-            "ts",
-            F.lit(0).cast("bigint").alias("cents"),
-        )
+        .select("ts")
+    )
+
+
+def _slots_of(events: DataFrame, site: Column) -> DataFrame:
+    """The quarter hours in which a site has an event, and the starts of their hours."""
+    both = F.array(cal.truncate("ts", "hour"), cal.floor_minutes("ts", 15))
+    return events.select(site.alias("site"), F.explode(both).alias("ts")).distinct()
+
+
+def meter_feeds(spark: SparkSession, sf: str, site: str | None = None) -> DataFrame:
+    """Cumulative feeds on a quarter-hour grid; solar only where it has events.
+
+    With ``site`` every value of that events column is a site of its own, which
+    reports at its own events and at the start of their hours only.
+    """
+    ev = table(spark, sf, "events")
+    keys = ["site"] if site else []
+    if site:
+        slots = _slots_of(ev, F.col(site))
+    else:
+        slots = _slots_between(ev, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    grid = slots.select(
+        *keys,
+        F.explode(F.array(F.lit("building"), F.lit("data_center"))).alias("feed"),
+        "ts",
+        F.lit(0).cast("bigint").alias("cents"),
     )
-    events = ev.where(F.col("event_type").isin(*EVENT_FEED)).select(
-        *who,
+    events = ev.select(
+        *([F.col(site).alias("site")] if site else []),
         _feed_of("event_type", EVENT_FEED).alias("feed"),
         cal.floor_minutes("ts", 15).alias("ts"),
         _cents("value").alias("cents"),

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from suite.derive import AS_OF, EVENT_FEED, FLAG_FEED, REGISTER, SPLIT, WEATHER_RANGE
+from suite.derive import AS_OF, EVENT_FEED, FLAG_FEED, SPLIT, WEATHER_RANGE
 from wattspan.functions.comfort import WIND_TO_MPH
 from wattspan.schema import METERS, SCALED_FEATURES, WEATHER_VARS
 
-KW = "DECIMAL(10,2)"
+KW = "DECIMAL(18,2)"
 SQL: dict[str, str] = {}
 
 
@@ -15,10 +15,6 @@ def case(column: str, mapping: dict[str, str]) -> str:
     return f"CASE {column} {arms} END"
 
 
-def values(mapping: dict[str, str]) -> str:
-    return ", ".join(f"'{k}'" for k in mapping)
-
-
 def band_of(ts: str) -> str:
     return (
         f"CAST(CASE WHEN hour({ts}) < 9 THEN 1 WHEN hour({ts}) < 19 THEN 2 "
@@ -35,57 +31,54 @@ def sun0(ts: str) -> str:
 RAW = f"""raw AS (
   SELECT {case('event_type', EVENT_FEED)} AS feed, event_id AS seq,
          time_bucket(INTERVAL 15 MINUTE, ts) AS ts, CAST(value AS {KW}) AS kilowatt
-  FROM events WHERE event_type IN ({values(EVENT_FEED)}))"""
+  FROM events)"""
 
 
 def feeds_cte(site: bool = False) -> str:
     k = "site, " if site else ""
     own = "user_id AS site, " if site else ""
-    by_site = "GROUP BY user_id" if site else ""
-    of_grid = "g.site, " if site else ""
-    on_site = "AND a.site = g.site" if site else ""
-    return f"""amounts AS (
+    slots = (
+        """SELECT DISTINCT user_id AS site,
+         unnest([date_trunc('hour', ts), time_bucket(INTERVAL 15 MINUTE, ts)]) AS ts FROM events"""
+        if site
+        else """SELECT unnest(generate_series(date_trunc('hour', min(ts)), max(ts),
+         INTERVAL 15 MINUTE)) AS ts FROM events"""
+    )
+    return f"""slots AS ({slots}),
+steps AS (
   SELECT {own}{case('event_type', EVENT_FEED)} AS feed,
-         time_bucket(INTERVAL 15 MINUTE, ts) AS ts, sum(CAST(value AS {KW})) AS amount
-  FROM events WHERE event_type IN ({values(EVENT_FEED)}) GROUP BY ALL),
-span AS (SELECT {own}date_trunc('hour', min(ts)) AS lo, max(ts) AS hi FROM events {by_site}),
-grid AS (SELECT {k}unnest(generate_series(lo, hi, INTERVAL 15 MINUTE)) AS ts FROM span),
-dense AS (
-  SELECT {of_grid}f.feed, g.ts, coalesce(a.amount, 0) AS amount
-  FROM grid g CROSS JOIN (VALUES ('building'), ('data_center')) f(feed)
-  LEFT JOIN amounts a ON a.feed = f.feed AND a.ts = g.ts {on_site}),
-parts AS (
-  SELECT {k}feed, ts, amount FROM dense
-  UNION ALL SELECT {k}feed, ts, amount FROM amounts WHERE feed = 'solar'),
-running AS (
-  SELECT {k}feed, ts, sum(amount) OVER (PARTITION BY {k}feed ORDER BY ts
-         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total FROM parts),
+         time_bucket(INTERVAL 15 MINUTE, ts) AS ts, CAST(value AS {KW}) AS amount FROM events
+  UNION ALL SELECT {k}'building', ts, 0 FROM slots
+  UNION ALL SELECT {k}'data_center', ts, 0 FROM slots),
+amounts AS (SELECT {k}feed, ts, sum(amount) AS amount FROM steps GROUP BY ALL),
 feeds AS (
-  SELECT {k}feed, ts, CAST(total % {REGISTER} AS {KW}) AS kilowatt FROM running)"""
+  SELECT {k}feed, ts, CAST(sum(amount) OVER (PARTITION BY {k}feed ORDER BY ts) AS {KW}) AS kilowatt
+  FROM amounts)"""
 
 
-LONG = f"""parts AS (
+LONG = f"""amounts AS (
   SELECT {case('l_returnflag', FLAG_FEED)} AS feed, l_shipdate AS ts,
          sum(CAST(l_quantity AS {KW})) AS amount FROM lineitem GROUP BY ALL),
-running AS (
-  SELECT feed, ts, sum(amount) OVER (PARTITION BY feed ORDER BY ts
-         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total FROM parts),
-feeds AS (SELECT feed, ts, CAST(total % {REGISTER} AS {KW}) AS kilowatt FROM running)"""
+feeds AS (
+  SELECT feed, ts, CAST(sum(amount) OVER (PARTITION BY feed ORDER BY ts) AS {KW}) AS kilowatt
+  FROM amounts)"""
+
+
+def value_of(feed: str) -> str:
+    return f"coalesce(max(kilowatt) FILTER (feed = '{feed}'), 0)"
 
 
 def readings_cte(site: bool = False) -> str:
-    k = "e.site, " if site else ""
-    on = "USING (site, ts)" if site else "USING (ts)"
-    return f"""e AS (SELECT * FROM feeds WHERE feed = 'building'),
-dc AS (SELECT * FROM feeds WHERE feed = 'data_center'),
-pv AS (SELECT * FROM feeds WHERE feed = 'solar'),
+    """Times that both needed feeds report, by one pass over all feeds."""
+    k = "site, " if site else ""
+    columns = ", ".join(f"CAST({value_of(f)} AS {KW}) AS {f}" for f in METERS[:3])
+    return f"""wide AS (
+  SELECT {k}ts, {columns}, list(feed) AS reported FROM feeds GROUP BY ALL),
 readings AS (
-  SELECT {k}e.ts, CAST(coalesce(e.kilowatt, 0) AS {KW}) AS building,
-         CAST(coalesce(dc.kilowatt, 0) AS {KW}) AS data_center,
-         CAST(coalesce(pv.kilowatt, 0) AS {KW}) AS solar,
-         CAST(coalesce(e.kilowatt, 0) - coalesce(dc.kilowatt, 0) + coalesce(pv.kilowatt, 0) AS {KW}) AS office,
-         {band_of('e.ts')} AS band, {sun0('e.ts')} AS dow
-  FROM e JOIN dc {on} LEFT JOIN pv {on})"""
+  SELECT {k}ts, building, data_center, solar,
+         CAST(building + solar - data_center AS {KW}) AS office,
+         {band_of('ts')} AS band, {sun0('ts')} AS dow
+  FROM wide WHERE list_has_all(reported, ['building', 'data_center']))"""
 
 
 FEEDS = feeds_cte()
@@ -199,15 +192,10 @@ SELECT feed, ts, kilowatt FROM batch b WHERE NOT EXISTS (
 
 # Readings -------------------------------------------------------------------------
 
-SQL["office_load"] = f"""WITH {FEEDS},
-e AS (SELECT * FROM feeds WHERE feed = 'building'),
-dc AS (SELECT * FROM feeds WHERE feed = 'data_center'),
-pv AS (SELECT * FROM feeds WHERE feed = 'solar'),
-combined AS (
-  SELECT DISTINCT coalesce(e.ts, dc.ts, pv.ts) AS ts,
-         coalesce(e.kilowatt, 0) - coalesce(dc.kilowatt, 0) + coalesce(pv.kilowatt, 0) AS kilowatt
-  FROM e FULL OUTER JOIN dc ON e.ts = dc.ts FULL OUTER JOIN pv ON coalesce(e.ts, dc.ts) = pv.ts)
-SELECT ts, CAST(sum(kilowatt) AS {KW}) AS kilowatt FROM combined GROUP BY ts"""
+SQL["office_load"] = f"""WITH {FEEDS}, signed AS (
+  SELECT ts, kilowatt FROM feeds WHERE feed <> 'data_center'
+  UNION ALL SELECT ts, -kilowatt FROM feeds WHERE feed = 'data_center')
+SELECT ts, CAST(sum(kilowatt) AS {KW}) AS kilowatt FROM signed GROUP BY ts"""
 SQL["join_readings"] = f"WITH {READINGS} SELECT * FROM readings"
 DEDUPED = f"""{RAW}, feeds AS (SELECT feed, ts, kilowatt FROM raw
   QUALIFY row_number() OVER (PARTITION BY feed, ts ORDER BY seq) = 1)"""
@@ -228,47 +216,38 @@ SQL["delta_band"] = f"WITH {READINGS} {delta_sql('band')}"
 SQL["delta_rollup"] = SQL["delta_day"]
 
 
-def join_form(grain: str) -> str:
-    """Consumption by joining each period to its first and last reading."""
-    def edge(fn):
-        return (
-            f"(SELECT * FROM readings WHERE ts IN "
-            f"(SELECT {fn}(ts) FROM readings GROUP BY date_trunc('{grain}', ts)))"
-        )
-
-    columns = ", ".join(f"CAST(z.{m} - a.{m} AS {KW}) AS {m}" for m in METERS)
-    return f"""SELECT CAST(p.period AS TIMESTAMP) AS ts, {columns}
-FROM (SELECT DISTINCT date_trunc('{grain}', ts) AS period FROM readings) p
-JOIN {edge('min')} a ON p.period = date_trunc('{grain}', a.ts)
-JOIN {edge('max')} z ON p.period = date_trunc('{grain}', z.ts)"""
-
-
-SQL["delta_month"] = f"WITH {LONG_READINGS} {join_form('month')}"
-SQL["delta_year"] = f"WITH {LONG_READINGS} {join_form('year')}"
-WINDOWED = ", ".join(
-    f"CAST(last_value({m}) OVER w - first_value({m}) OVER w AS {KW}) AS {m}" for m in METERS
+SQL["delta_month"] = f"WITH {LONG_READINGS} {delta_sql('month')}"
+SQL["delta_year"] = f"WITH {LONG_READINGS} {delta_sql('year')}"
+ENDS = ", ".join(
+    f"CAST(sum(CASE WHEN left_over = 1 THEN {m} ELSE 0 END) - "
+    f"sum(CASE WHEN nth = 1 THEN {m} ELSE 0 END) AS {KW}) AS {m}"
+    for m in METERS
 )
-SQL["delta_hour_window"] = f"""WITH {READINGS}
-SELECT DISTINCT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS ts, {WINDOWED}, dow FROM readings
-WINDOW w AS (PARTITION BY date_trunc('hour', ts), dow ORDER BY ts
-             ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
+SQL["delta_hour_window"] = f"""WITH {READINGS}, numbered AS (
+  SELECT *, time_bucket(INTERVAL 1 HOUR, ts) AS slot,
+         row_number() OVER (PARTITION BY time_bucket(INTERVAL 1 HOUR, ts) ORDER BY ts) AS nth,
+         row_number() OVER (PARTITION BY time_bucket(INTERVAL 1 HOUR, ts) ORDER BY ts DESC) AS left_over
+  FROM readings)
+SELECT slot AS ts, {ENDS}, any_value(dow) AS dow FROM numbered GROUP BY slot"""
 SQL["drop_empty"] = f"WITH {READINGS}, {table_cte('hour')} SELECT * FROM hour"
 
 
-def edges_sql(period: str) -> str:
-    return " UNION ALL ".join(
-        f"SELECT *, '{name}' AS edge FROM readings WHERE (ts, band, dow) IN "
-        f"(SELECT ({fn}(ts), band, dow) FROM readings GROUP BY {period})"
-        for name, fn in (("first", "min"), ("last", "max"))
-    )
+def edges_sql(*period: str) -> str:
+    """First and last reading of every period, taken whole."""
+    whole = "{'ts': ts, 'building': building, 'data_center': data_center, 'solar': solar, "
+    whole += "'office': office, 'band': band, 'dow': dow}"
+    columns = ", ".join(f"reading.{c} AS {c}" for c in ("ts", *METERS, "band", "dow"))
+    return f""", ends AS (
+  SELECT arg_min({whole}, ts) AS opening, arg_max({whole}, ts) AS closing
+  FROM readings GROUP BY {', '.join(period)}),
+sides AS (
+  SELECT 'first' AS edge, opening AS reading FROM ends
+  UNION ALL SELECT 'last', closing FROM ends)
+SELECT {columns}, edge FROM sides"""
 
 
-SQL["semi_first_last"] = f"WITH {LONG_READINGS} " + " UNION ALL ".join(
-    f"SELECT *, '{name}' AS edge FROM readings WHERE ts IN "
-    f"(SELECT {fn}(ts) FROM readings GROUP BY date_trunc('month', ts))"
-    for name, fn in (("first", "min"), ("last", "max"))
-)
-SQL["semi_first_last_band"] = f"WITH {READINGS} {edges_sql('CAST(ts AS DATE), band, dow')}"
+SQL["semi_first_last"] = f"WITH {LONG_READINGS}{edges_sql('year(ts)', 'month(ts)')}"
+SQL["semi_first_last_band"] = f"WITH {READINGS}{edges_sql('CAST(ts AS DATE)', 'band')}"
 SQL["band_sorted"] = f"WITH {READINGS}, {table_cte('band')} SELECT * FROM band ORDER BY day, band"
 SQL["head_rows"] = f"WITH {READINGS}, {table_cte('band')} SELECT * FROM band ORDER BY day, band LIMIT 5"
 SQL["site_readings_joined"] = f"WITH {SITE_READINGS} SELECT * FROM readings"
@@ -299,9 +278,8 @@ FULL_HOUR = f"{READINGS}, {table_cte('hour')}, {WEATHER}, " + HOUR_WITH_WEATHER.
     table="hour", weather="weather"
 )
 SQL["merge_weather"] = f"""WITH {READINGS}, {table_cte('hour')}, {WEATHER},
-cut_hour AS (SELECT * FROM hour WHERE CAST(ts AS DATE) <> DATE '2024-01-11'),
-cut_weather AS (SELECT * FROM weather WHERE CAST(ts AS DATE) NOT IN (DATE '2024-01-01', DATE '2024-01-30')),
-{HOUR_WITH_WEATHER.format(table='cut_hour', weather='cut_weather')} SELECT * FROM agg_hour"""
+later AS (SELECT * REPLACE (ts + INTERVAL 2 DAY AS ts) FROM weather),
+{HOUR_WITH_WEATHER.format(table='hour', weather='later')} SELECT * FROM agg_hour"""
 BAND_WITH_WEATHER = f"""{READINGS}, {table_cte('band')}, {WEATHER},
 band_weather AS ({LAST_OF_BAND.format(columns=ROUNDED)}),
 agg_band AS (SELECT coalesce(b.day, w.day) AS day, coalesce(b.band, w.band) AS band,

@@ -21,7 +21,7 @@ from wattspan.operators import (
     remote,
     weather,
 )
-from wattspan.schema import FEEDS, METERS, READINGS, SCALED_FEATURES
+from wattspan.schema import FEEDS, KW, METERS, READINGS, SCALED_FEATURES, WEATHER_VARS
 from wattspan.session import pin, shared_dir
 from wattspan.sources import load_log, meter_csv, ramp, tables
 from wattspan.sources.weather import explode_weather
@@ -201,7 +201,7 @@ def insert_ignore(spark, sf):
     feeds = derive.meter_feeds(spark, sf)
     target = feeds.where(F.col("ts") < ntz(derive.SPLIT))
     batch = feeds.where(F.col("ts") >= ntz("2024-01-19 00:00:00")).withColumn(
-        "kilowatt", (F.col("kilowatt") + 1).cast("decimal(10,2)")
+        "kilowatt", (F.col("kilowatt") + 1).cast(KW)
     )
     return merge.insert_ignore(target, batch, ["feed", "ts"])
 
@@ -361,11 +361,10 @@ def weather_band_mean(spark, sf):
 
 @query
 def merge_weather(spark, sf):
-    """The hourly table with weather; the weather lacks two days and has one the table lacks."""
-    table = table_of(spark, sf, "hour").where(F.to_date("ts") != F.lit("2024-01-11").cast("date"))
-    skipped = F.to_date("ts").isin(*[F.lit(d).cast("date") for d in ("2024-01-01", "2024-01-30")])
-    hours = derive.weather_hourly(spark, sf).where(~skipped)
-    return weather.merge_weather(table, hours, "hour")
+    """The hourly table with weather that begins and ends two days later than the table."""
+    later = (F.col("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts")
+    hours = derive.weather_hourly(spark, sf).select(later, *WEATHER_VARS)
+    return weather.merge_weather(table_of(spark, sf, "hour"), hours, "hour")
 
 
 @query
@@ -607,7 +606,7 @@ def stream_incremental(spark, sf):
         streaming.load_new_files(
             streaming.stream_files(spark, folder, rows.schema), target, checkpoint
         )
-    return tables.read(spark, target, rows.schema)
+    return tables.read(spark, target)
 
 
 @query

@@ -38,7 +38,7 @@ def kw(value) -> Decimal | None:
     return None if value is None else Decimal(str(value)).quantize(Decimal("0.01"))
 
 
-FEED_SCHEMA = "feed string, seq bigint, ts timestamp_ntz, kilowatt decimal(10,2)"
+FEED_SCHEMA = "feed string, seq bigint, ts timestamp_ntz, kilowatt decimal(18,2)"
 
 
 @pytest.fixture
@@ -60,7 +60,7 @@ def reading_rows(spark):
     def make(*rows):
         data = [(at(t), kw(b), kw(d), kw(s), kw(b - d + s)) for t, b, d, s in rows]
         schema = "ts timestamp_ntz, " + ", ".join(
-            f"{m} decimal(10,2)" for m in ("building", "data_center", "solar", "office")
+            f"{m} decimal(18,2)" for m in ("building", "data_center", "solar", "office")
         )
         df = spark.createDataFrame(data, schema)
         return df.withColumns({"band": cal.time_band("ts"), "dow": cal.dow_sun0("ts")})
@@ -79,8 +79,8 @@ def band_rows(spark):
             data.append((d, band, kw(1), kw(1), kw(0), kw(office), d.isoweekday() % 7))
         return spark.createDataFrame(
             data,
-            "day date, band int, building decimal(10,2), data_center decimal(10,2), "
-            "solar decimal(10,2), office decimal(10,2), dow int",
+            "day date, band int, building decimal(18,2), data_center decimal(18,2), "
+            "solar decimal(18,2), office decimal(18,2), dow int",
         )
 
     return make

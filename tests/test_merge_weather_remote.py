@@ -97,7 +97,7 @@ def test_merge_adds_weather_only_keys(reading_rows, weather_rows):
     rows = {r["ts"].hour: r for r in out.collect()}
     assert (rows[10]["building"], rows[10]["band"], rows[10]["rain"]) == (kw(3), 2, kw(12))
     assert (rows[11]["building"], rows[11]["dow"], rows[11]["band"]) == (None, None, 2)
-    assert dict(out.dtypes)["rain"] == "decimal(10,2)"
+    assert dict(out.dtypes)["rain"] == "decimal(18,2)"
     same = weather.merge_weather(out, w, "hour")
     assert same.select(*out.columns).exceptAll(out).isEmpty()
 

@@ -33,9 +33,14 @@ def test_quantiles_are_exact(numbers, size):
         assert got[p] == pytest.approx(pd.Series(values).quantile(p), rel=1e-12, abs=1e-9)
 
 
-def test_quantiles_need_bounded_values(spark):
-    with pytest.raises(TypeError):
-        prep.quantiles(spark.range(3), ["id"], [0.5])
+def test_quantiles_of_any_number(spark):
+    rng = random.Random(3)
+    values = [rng.lognormvariate(0, 6) for _ in range(300)] + [1e-300, 1e12]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "n int, v double")
+    got = {(r["name"], r["prob"]): r["value"] for r in prep.quantiles(df, ["n", "v"], [0.1, 0.5]).collect()}
+    for p in (0.1, 0.5):
+        assert got["v", p] == pytest.approx(pd.Series(values).quantile(p), rel=1e-12)
+        assert got["n", p] == pytest.approx(pd.Series(range(302)).quantile(p))
 
 
 def test_filter_outliers(numbers):

@@ -44,7 +44,7 @@ def test_readings_need_building_and_data_center(gappy):
         ("2024-01-01 00:00:00", "100.00", "5.00", "75.00", "1", "1"),
         ("2024-01-01 01:00:00", "110.00", "0.00", "75.00", "1", "1"),
         ("2024-01-01 05:00:00", "0.00", "0.00", "-50.00", "1", "1")]
-    assert dict(got.dtypes)["office"] == "decimal(10,2)"
+    assert dict(got.dtypes)["office"] == "decimal(18,2)"
     empty = readings.join_readings(gappy, solar_missing="null")
     assert values(empty, "solar") == [("5.00",), ("None",), ("None",)]
     with pytest.raises(ValueError):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -13,7 +14,7 @@ from wattspan.plans import load as plan
 from wattspan.plans import predict
 from wattspan.plans.store import Store
 from wattspan.schema import READINGS, WEATHER
-from wattspan.sources import meter_csv, tables
+from wattspan.sources import load_log, meter_csv, tables
 from wattspan.streaming import feeds as streaming
 
 
@@ -85,8 +86,7 @@ def test_append_new_and_rewrite(spark, feed_rows, tmp_path):
         tables.append_new(batch, path, ["feed", "ts"])
     stored = {str(r["ts"])[:7]: float(r["kilowatt"]) for r in tables.read(spark, path).collect()}
     assert stored == {"2024-01": 1, "2024-02": 2, "2024-03": 3}
-    pruned = tables.months(spark, path, 202402, 202402)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(period" in pruned
+    assert {f.split("period=")[1][:6] for f in tables.months(spark, path, 202402, 202402).inputFiles()} == {"202402"}
     tables.rewrite(spark, path, (202402, 202402), lambda t: t.withColumn("kilowatt", F.lit(7).cast("decimal(10,2)")))
     after = {str(r["ts"])[:7]: float(r["kilowatt"]) for r in tables.read(spark, path).collect()}
     assert after == {"2024-01": 1, "2024-02": 7, "2024-03": 3}
@@ -166,8 +166,8 @@ def test_load_in_one_go(spark, stored):
     same_rows(tables.read(spark, store.agg("hour")), hour)
     bands = weather.merge_weather(buckets.drop_empty(buckets.delta(joined, "band")), month_weather, "band")
     flags = remote.band_flags(bands)
-    same_rows(tables.read(spark, store.agg("band")), remote.flag_bands(bands, flags))
-    month = tables.read(spark, store.agg("month"))
+    same_rows(plan.classified(spark, store, "band"), remote.flag_bands(bands, flags))
+    month = plan.classified(spark, store, "month")
     assert {str(r["ts"])[:7] for r in month.collect()} == {"2024-01", "2024-02"}
     assert all(r["remote_pct"] for r in month.where("building IS NOT NULL").collect())
     assert tables.read(spark, store.agg("hour")).where("building IS NULL").count() == 24
@@ -217,8 +217,84 @@ def test_load_by_site(spark, stored, tmp_path):
     store = Store(str(tmp_path / "two"))
     plan.load(two, store, both, keys=["site"])
     for grain in ("hour", "band", "month"):
-        got = tables.read(spark, store.agg(grain))
-        same_rows(got.where("site = 2").drop("site"), tables.read(spark, alone.agg(grain)))
+        got = plan.classified(spark, store, grain, ["site"])
+        same_rows(got.where("site = 2").drop("site"), plan.classified(spark, alone, grain))
+
+
+def test_site_that_lags_loses_nothing(spark, tmp_path):
+    rows = ramps(spark, days=4, minutes=60)
+    two = rows.withColumn("site", F.lit(1)).unionByName(rows.withColumn("site", F.lit(2)))
+    late = (F.col("site") == 2) & (F.col("ts") >= at("2024-01-30 06:00:00"))
+    early = (F.col("site") == 1) & (F.col("ts") >= at("2024-02-01 00:00:00"))
+    store = Store(str(tmp_path / "lag"))
+    assert plan.load(two.where(~late & ~early), store, keys=["site"])
+    assert plan.load(two, store, keys=["site"])
+    got = {r["site"]: r["count"] for r in tables.read(spark, store.readings).groupBy("site").count().collect()}
+    assert got == {1: 96, 2: 96}
+    assert not plan.load(two, store, keys=["site"])
+
+
+def test_weather_columns_outlive_a_load_without_weather(spark, stored, tmp_path):
+    raw, hours, _ = stored
+    cut = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    for first_has_it in (True, False):
+        store = Store(str(tmp_path / f"weather-{first_has_it}"))
+        plan.load(raw.where(F.col("ts") < cut), store, hours if first_has_it else None)
+        plan.load(raw, store, None if first_has_it else hours)
+        for grain in ("hour", "band", "month"):
+            table = tables.read(spark, store.agg(grain))
+            assert "rain" in table.columns and table.where("rain IS NOT NULL").count() > 0
+
+
+def test_recompute_equals_one_load(spark, stored, tmp_path):
+    raw, hours, once = stored
+    cut = F.lit("2024-01-31 10:30:00").cast("timestamp_ntz")
+    store = Store(str(tmp_path / "again"))
+    plan.load(raw.where(F.col("ts") < cut), store, hours, open_buckets=plan.RECOMPUTE)
+    plan.load(raw, store, hours, open_buckets=plan.RECOMPUTE)
+    for grain in ("hour", "day", "band", "month", "year"):
+        same_rows(plan.classified(spark, store, grain), plan.classified(spark, once, grain))
+
+
+def test_write_that_fails_leaves_the_table(spark, feed_rows, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.append_new(feed_rows(("building", "2024-01-31 00:00:00", 1)), path, ["feed", "ts"])
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(tables, "_publish", lost)
+    with pytest.raises(RuntimeError):
+        tables.rewrite(spark, path, (202401, 202401), lambda t: t.withColumn("kilowatt", F.lit(9)))
+    monkeypatch.undo()
+    assert float(tables.read(spark, path).first()["kilowatt"]) == 1
+    tables.rewrite(spark, path, (202401, 202401), lambda t: t.where("false"))
+    assert not tables.exists(spark, path) and tables.read(spark, path).count() == 0
+
+
+def test_rows_of_a_folder_have_one_order(spark, feed_rows, tmp_path):
+    path = str(tmp_path / "feed")
+    for value in (1, 2):
+        meter_csv.write_feed(feed_rows(("building", "2024-01-01 00:00:00", value)), path, mode="append")
+        time.sleep(1.1)
+    rows = meter_csv.read_feed(spark, path, "building")
+    assert rows.select("seq").distinct().count() == 2
+    assert float(clean.dedup_feed(rows).first()["kilowatt"]) == 1
+
+
+def test_register_beyond_a_hundred_million(spark, feed_rows):
+    rows = feed_rows(*[(f, f"2024-01-01 00:{m}:00", v) for f in ("building", "data_center")
+                       for m, v in ((10, 150_000_000), (50, 150_000_321.5))])
+    assert str(buckets.delta(readings.join_readings(rows), "month").first()["building"]) == "321.50"
+
+
+def test_state_file_is_read_and_appended(spark, feed_rows, tmp_path):
+    path = str(tmp_path / "state")
+    for day in (1, 2):
+        rows = feed_rows(("building", f"2024-01-0{day} 10:00:00", 1))
+        load_log.append_state_file(load_log.log_entry(rows, F.lit(f"2024-01-0{day + 1} 00:00:00")), path)
+    got = load_log.read_state_file(spark, path).orderBy("downloaded_at").collect()
+    assert [str(r["end"]) for r in got] == ["2024-01-01 10:00:00", "2024-01-02 10:00:00"]
 
 
 def test_train_and_forecast(spark, stored):

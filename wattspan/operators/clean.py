@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 
 def align_feeds(feeds: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -32,9 +32,14 @@ def dedup_feed(
     """One row per key: the one read first.
 
     An aggregation rather than a window, so copies of a hot key collapse before
-    the shuffle. ``order`` is a number that grows in reading order.
+    the shuffle. ``order`` grows in reading order and names a row once per key. A
+    number leaves a hash aggregation of fixed-width buffers; a struct, as
+    ``meter_csv.read_feed`` makes it, orders rows across files.
     """
     rest = [c for c in feeds.columns if c not in keys and c != order]
+    if isinstance(feeds.schema[order].dataType, T.StructType):
+        first = feeds.groupBy(*keys).agg(F.min(F.struct(order, *rest)).alias("_first"))
+        return first.select(*keys, "_first.*").select(*feeds.columns)
     firsts = [F.min_by(c, order).alias(c) for c in rest]
     return (
         feeds.groupBy(*keys)
@@ -48,8 +53,17 @@ def load_window(feeds: DataFrame, keys: Sequence[str] = ("feed",)) -> DataFrame:
     return feeds.groupBy(*keys).agg(F.min("ts").alias("start"), F.max("ts").alias("end"))
 
 
-def new_rows(feeds: DataFrame, load_log: DataFrame) -> DataFrame:
-    """Rows after the end of the last recorded load; everything without one."""
-    last_end = load_log.agg(F.max_by("end", "downloaded_at").alias("end"))
+def new_rows(feeds: DataFrame, load_log: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows after the end of the last recorded load; everything without one.
+
+    With ``keys`` each group goes on from its own last load, so that one that
+    lags behind the others loses nothing.
+    """
+    last = F.max_by("end", F.struct("downloaded_at", "end"))
+    if keys:
+        ends = load_log.groupBy(*keys).agg(last.alias("_since"))
+        beyond = F.col("_since").isNull() | (F.col("ts") > F.col("_since"))
+        return feeds.join(ends, list(keys), "left").where(beyond).select(*feeds.columns)
+    last_end = load_log.agg(last.alias("end"))
     since = F.coalesce(last_end.scalar(), F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))
     return feeds.where(F.col("ts") > since)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -14,13 +16,15 @@ from wattspan.schema import CALENDAR_FEATURES, SCALED_FEATURES
 FORECAST = "building_forecast"
 
 
-def future_rows(weather: DataFrame, wind_factor: float = comfort.WIND_TO_MPH) -> DataFrame:
+def future_rows(
+    weather: DataFrame, wind_factor: float = comfort.WIND_TO_MPH, keys: Sequence[str] = ()
+) -> DataFrame:
     """Feature rows of hourly weather that has no consumption yet."""
     full = prep.with_calendar(
         weather.withColumns(comfort.weather_indices(wind_factor=wind_factor))
     ).withColumn("band", cal.time_band("ts"))
     return full.select(
-        "ts", *[F.col(c).cast("double").alias(c) for c in SCALED_FEATURES], *CALENDAR_FEATURES
+        *keys, "ts", *[F.col(c).cast("double").alias(c) for c in SCALED_FEATURES], *CALENDAR_FEATURES
     )
 
 
@@ -35,14 +39,16 @@ def score(model: PipelineModel, rows: DataFrame, refit_scaler: bool = False) ->
     return model.transform(rows).select(*rows.columns, "prediction")
 
 
-def band_rollup(rows: DataFrame, prediction: str | None = "prediction") -> DataFrame:
-    """Feature means, and the summed prediction, per day and band."""
+def band_rollup(
+    rows: DataFrame, prediction: str | None = "prediction", keys: Sequence[str] = ()
+) -> DataFrame:
+    """Feature means, and the summed prediction, per key, day and band."""
     total = [F.sum(prediction).alias(FORECAST)] if prediction else []
-    grouped = rows.groupBy("year", "month", "day", "dow", "band").agg(
+    grouped = rows.groupBy(*keys, "year", "month", "day", "dow", "band").agg(
         *[F.avg(c).alias(c) for c in SCALED_FEATURES], *total
     )
     return grouped.withColumn("day", F.make_date("year", "month", "day")).select(
-        "day", "dow", "band", *SCALED_FEATURES, *([FORECAST] if prediction else [])
+        *keys, "day", "dow", "band", *SCALED_FEATURES, *([FORECAST] if prediction else [])
     )
 
 
@@ -52,8 +58,9 @@ def forecast_bands(
     updated_at: Column | None = None,
     refit_scaler: bool = False,
     wind_factor: float = comfort.WIND_TO_MPH,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Forecast table rows for hourly future weather."""
-    scored = score(model, future_rows(weather, wind_factor), refit_scaler)
+    """Forecast table rows for hourly future weather, of each key's own if there are any."""
+    scored = score(model, future_rows(weather, wind_factor, keys), refit_scaler)
     stamp = F.current_timestamp() if updated_at is None else updated_at
-    return band_rollup(scored).withColumn("updated_at", stamp.cast("timestamp_ntz"))
+    return band_rollup(scored, keys=keys).withColumn("updated_at", stamp.cast("timestamp_ntz"))

@@ -8,11 +8,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wattspan.functions import calendar as cal
 from wattspan.functions import comfort
-from wattspan.schema import CALENDAR_FEATURES, KW, SCALED_FEATURES, TARGET
+from wattspan.schema import CALENDAR_FEATURES, SCALED_FEATURES, TARGET
 
-# A decimal(10,2) column has at most this many hundredths per cell, and no more
-# cells than its range over the cell width: both bounded whatever the row count.
-CELL_WIDTH = 1000
+# Parts of a column's range that ranks are located among, and how often.
+CELLS, LEVELS = 1024, 2
 
 
 def with_calendar(df: DataFrame, time: str = "ts") -> DataFrame:
@@ -20,14 +19,18 @@ def with_calendar(df: DataFrame, time: str = "ts") -> DataFrame:
     return df.withColumns(cal.calendar_parts(time))
 
 
-def feature_rows(agg_hour: DataFrame, wind_factor: float = comfort.WIND_TO_MPH) -> DataFrame:
+def feature_rows(
+    agg_hour: DataFrame, wind_factor: float = comfort.WIND_TO_MPH, keys: Sequence[str] = ()
+) -> DataFrame:
     """Model input from the hourly table: complete rows with solar production.
 
-    ``ts`` stays as the row's identity, followed by the features and the target.
+    ``keys`` and ``ts`` stay as the row's identity, followed by the features and
+    the target.
     """
     usable = agg_hour.na.drop("any").where(F.col("solar") != 0)
     full = with_calendar(usable.withColumns(comfort.weather_indices(wind_factor=wind_factor)))
     return full.select(
+        *keys,
         "ts",
         *[F.col(c).cast("double").alias(c) for c in SCALED_FEATURES],
         *CALENDAR_FEATURES,
@@ -67,55 +70,72 @@ def fill_zero(df: DataFrame) -> DataFrame:
 
 
 def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    types = dict(df.dtypes)
-    for c in columns:
-        if types[c] != KW.simpleString():
-            raise TypeError(f"{c} is {types[c]}; exact quantiles need {KW.simpleString()}")
-    entries = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in columns])
+    entries = F.array(
+        *[
+            F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value"))
+            for c in columns
+        ]
+    )
     return (
         df.select(F.inline(entries))
         .where(F.col("value").isNotNull())
         .groupBy("name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("cell", F.floor(F.col("value") / CELL_WIDTH))
     )
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact quantiles with linear interpolation: (name, prob, value).
+RANK = ("name", "prob", "side")
+
+
+def _narrowed(counts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Every wanted rank with the one of ``CELLS`` parts of its range that holds it.
 
-    Rows are counted per distinct value, values per cell. The ranks wanted are
-    located among the cells first, and only the values of the cells that hold
-    them are looked at, so no task sees more than the type allows.
+    ``wanted`` has the rank counted from the low end of its range; so has the result.
     """
-    counts = _value_counts(df, columns)
-    along = Window.partitionBy("name").orderBy("cell")
-    cells = (
-        counts.groupBy("name", "cell")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("upto", F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("total", F.sum("n").over(Window.partitionBy("name")))
+    width = (F.col("hi") - F.col("lo")) / CELLS
+    cell = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(CELLS - 1)))
+    inside = counts.join(wanted, "name").where(F.col("value").between(F.col("lo"), F.col("hi")))
+    cells = inside.groupBy(*RANK, "pos", "rank", F.coalesce(cell, F.lit(0)).alias("cell")).agg(
+        F.sum("n").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
+    )
+    along = Window.partitionBy(*RANK).orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        cells.withColumn("upto", F.sum("n").over(along))
         .withColumn("before", F.col("upto") - F.col("n"))
+        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto")))
+        .select(*RANK, "pos", (F.col("rank") - F.col("before")).alias("rank"), "lo", "hi")
     )
-    asked = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
-    side = F.explode(F.array(F.lit("lo"), F.lit("hi")))
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles with linear interpolation of numeric columns: (name, prob, value).
+
+    Rows are counted per distinct value. The ranks wanted are located among equal
+    parts of a column's range, then among parts of that part; only the values
+    that are left, between neighbouring ends a millionth of the range apart, are
+    put in order.
+    """
+    counts = _value_counts(df, columns)
     pos = F.col("prob") * (F.col("total") - 1)
     rank = F.when(F.col("side") == "lo", F.floor("pos")).otherwise(F.ceil("pos"))
-    holding = (
-        cells.withColumn("prob", asked)
-        .withColumn("side", side)
+    wanted = (
+        counts.groupBy("name")
+        .agg(F.sum("n").alias("total"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+        .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+        .withColumn("side", F.explode(F.array(F.lit("lo"), F.lit("hi"))))
         .withColumn("pos", pos)
-        .withColumn("rank", rank)
-        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto")))
-        .select("name", "cell", "prob", "side", "pos", "rank", "before")
+        .select(*RANK, "pos", rank.alias("rank"), "lo", "hi")
     )
-    inside = Window.partitionBy("name", "prob", "side").orderBy("value")
+    for _ in range(LEVELS):
+        wanted = _narrowed(counts, wanted)
+    inside = Window.partitionBy(*RANK).orderBy("value")
     reached = (
-        counts.join(holding, ["name", "cell"])
-        .withColumn("at", F.col("before") + F.sum("n").over(inside))
+        counts.join(wanted, "name")
+        .where(F.col("value").between(F.col("lo"), F.col("hi")))
+        .withColumn("at", F.sum("n").over(inside))
         .where(F.col("at") > F.col("rank"))
-        .groupBy("name", "prob", "side", "pos")
-        .agg(F.min("value").cast("double").alias("value"))
+        .groupBy(*RANK, "pos")
+        .agg(F.min("value").alias("value"))
     )
     ends = reached.groupBy("name", "prob", "pos").agg(
         F.max(F.when(F.col("side") == "lo", F.col("value"))).alias("lo"),

@@ -19,6 +19,8 @@ from wattspan.session import discard, shared_dir
 from wattspan.sources import load_log, tables
 
 EVERY_MONTH = (0, 999912)
+# What becomes of a bucket that was open at an earlier load.
+KEEP, RECOMPUTE = "keep", "recompute"
 
 
 def _time(grain: str) -> str:
@@ -49,11 +51,13 @@ def _refresh(
     span: tuple[int, int],
     weather: DataFrame | None,
     keys: Sequence[str],
+    open_buckets: str,
 ) -> None:
     """Insert a grain's new buckets, drop empty ones, then merge the weather.
 
-    A bucket once stored keeps its values. Weather comes after the empty buckets
-    are gone, so hours that only have weather stay, with empty meters.
+    A bucket once stored keeps its values, or takes those of all its readings so
+    far. Weather comes after the empty buckets are gone, so hours that only have
+    weather stay, with empty meters.
     """
     if grain == "year":
         span = _whole_years(span)
@@ -62,38 +66,50 @@ def _refresh(
 
     def change(stored: DataFrame | None) -> DataFrame:
         by = buckets.key_columns(grain, keys)
-        out = buckets.drop_empty(fresh if stored is None else merge.insert_ignore(stored, fresh, by))
+        if stored is None:
+            out = fresh
+        elif open_buckets == RECOMPUTE:
+            values = [c for c in fresh.columns if c not in by]
+            out = merge.upsert(stored, fresh, by, values)
+        else:
+            out = merge.insert_ignore(stored, fresh, by)
+        out = buckets.drop_empty(out)
         if weather is None:
             return out
-        hours = weather.where(tables.month_number("ts").between(*span))
+        # A range of the time itself, which reaches the scan of the weather.
+        lo, hi = (F.lit(t).cast("timestamp_ntz") for t in tables.month_bounds(span))
+        hours = weather.where((F.col("ts") >= lo) & (F.col("ts") < hi))
         return wx.merge_weather(out, hours, grain, keys)
 
     tables.rewrite(spark, store.agg(grain), span, change, _time(grain), keys)
 
 
 def _classify(spark: SparkSession, store: Store, keys: Sequence[str], **params) -> None:
-    """Flag every (day, band), then days, then the shares of months and years.
+    """Flag every (day, band) in a narrow table of flags.
 
-    The threshold depends on all days, so all flags are set anew; these tables
-    hold a few rows per day.
+    The threshold depends on all days, so all flags are set anew; the consumption tables with
+    their weather are not written for it (``classified`` joins the flags).
     """
     if not tables.exists(spark, store.agg("band")):
         return
-    flags_path = shared_dir(spark, "flags")
-    remote.band_flags(tables.read(spark, store.agg("band")), keys, **params).write.parquet(flags_path)
-    flags = spark.read.parquet(flags_path)
-
-    def update(grain: str, change) -> None:
-        if tables.exists(spark, store.agg(grain)):
-            tables.rewrite(spark, store.agg(grain), EVERY_MONTH, change, _time(grain), keys)
-
-    update("band", lambda t: remote.flag_bands(t, flags, keys))
-    update("day", lambda t: remote.flag_days(t, flags, keys))
-    if tables.exists(spark, store.agg("day")):
-        days = tables.read(spark, store.agg("day"))
-        update("month", lambda t: remote.flag_periods(t, days, "month", keys))
-        update("year", lambda t: remote.flag_periods(t, days, "year", keys))
-    discard(spark, flags_path)
+    flags = remote.band_flags(tables.read(spark, store.agg("band")), keys, **params)
+    tables.rewrite(spark, store.flags, EVERY_MONTH, lambda _: flags, "day", keys)
+
+
+def classified(
+    spark: SparkSession, store: Store, grain: str, keys: Sequence[str] = ()
+) -> DataFrame:
+    """A stored table with its remote-working flag, or its share of remote days."""
+    table = tables.read(spark, store.agg(grain))
+    if grain == "hour":
+        return table
+    flags = tables.read(spark, store.flags)
+    if grain == "band":
+        return remote.flag_bands(table, flags, keys)
+    if grain == "day":
+        return remote.flag_days(table, flags, keys)
+    days = remote.flag_days(tables.read(spark, store.agg("day")), flags, keys)
+    return remote.flag_periods(table, days, grain, keys)
 
 
 def load(
@@ -102,19 +118,26 @@ def load(
     weather: DataFrame | None = None,
     keys: Sequence[str] = (),
     downloaded_at: Column | None = None,
+    open_buckets: str = KEEP,
     **remote_params,
 ) -> bool:
     """Load what ``raw`` has beyond the last load; False when there is nothing new.
 
     ``raw`` holds (feed, seq, ts, kilowatt) and any ``keys``; ``weather`` the
-    hourly weather of at least the months the new rows touch.
+    hourly weather of at least the months the new rows touch. With ``keys`` every
+    group has its own last load. ``open_buckets`` says whether a bucket that an
+    earlier load left open keeps its values or is computed again.
     """
+    if open_buckets not in (KEEP, RECOMPUTE):
+        raise ValueError(f"unknown open_buckets {open_buckets!r}")
     spark = raw.sparkSession
-    by = [*keys, "ts"]
-    log = load_log.read_log(spark, store.load_log) if tables.exists(spark, store.load_log) else None
+    log = None
+    if tables.exists(spark, store.load_log):
+        fields = [raw.schema[k] for k in keys]
+        log = load_log.read_log(spark, store.load_log, fields)
 
     def beyond(rows: DataFrame) -> DataFrame:
-        return rows if log is None else clean.new_rows(rows, log)
+        return rows if log is None else clean.new_rows(rows, log, keys)
 
     arrived = beyond(clean.align_feeds(raw, keys))
     times = tables.time_span(arrived)
@@ -124,6 +147,19 @@ def load(
     # One shuffle of the raw rows drops duplicates and brings the feeds side by
     # side; the three tables are projections of its result.
     staged = shared_dir(spark, "side_by_side")
+    try:
+        _load_staged(spark, store, arrived, staged, times, span, weather, keys, open_buckets,
+                     beyond, downloaded_at, remote_params)
+    finally:
+        discard(spark, staged)
+    return True
+
+
+def _load_staged(
+    spark, store, arrived, staged, times, span, weather, keys, open_buckets, beyond, downloaded_at,
+    remote_params,
+) -> None:
+    by = [*keys, "ts"]
     tables.append_new(
         readings.side_by_side(arrived, keys, order="seq"), staged, by, times=times
     )
@@ -139,8 +175,6 @@ def load(
         if not batch.isEmpty():
             _merge_states(spark, store, batch, span, keys)
             for grain in GRAINS:
-                _refresh(spark, store, grain, span, weather, keys)
+                _refresh(spark, store, grain, span, weather, keys, open_buckets)
             _classify(spark, store, keys, **remote_params)
-    load_log.append_log(load_log.log_entry(wide, downloaded_at), store.load_log)
-    discard(spark, staged)
-    return True
+    load_log.append_log(load_log.log_entry(wide, downloaded_at, keys), store.load_log)

@@ -21,22 +21,28 @@ def train(
     boosted_grid: Mapping[str, Sequence] = model.BOOSTED_GRID,
     folds: int = 5,
     search_folds: int = 3,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Tune, stack and save the load model; returns its errors on held-out rows."""
+    """Tune, stack and save the load model; returns its errors on held-out rows.
+
+    With ``keys`` one model learns from the rows of all of them.
+    """
     path = shared_dir(spark, "features")
-    prep.feature_rows(tables.read(spark, store.agg("hour"))).write.parquet(path)
+    hours = tables.read(spark, store.agg("hour"))
+    prep.feature_rows(hours, keys=keys).write.parquet(path)
     rows = model.with_label(spark.read.parquet(path))
-    training, held_out = model.split(rows)
+    row = (*keys, "ts")
+    training, held_out = model.split(rows, keys=row)
     scaler, vectors = model.fit_scaler(training), model.assembler()
-    ready = vectors.transform(scaler.transform(training)).select("ts", model.VECTOR, model.LABEL)
+    ready = vectors.transform(scaler.transform(training)).select(*row, model.VECTOR, model.LABEL)
     bases = [
-        model.tune(base, grid, ready, search_folds)[0]
+        model.tune(base, grid, ready, search_folds, keys=row)[0]
         for base, grid in (
             (model.forest("forest"), forest_grid),
             (model.boosted("boosted"), boosted_grid),
         )
     ]
-    stack = model.fit_stack(training, bases, folds)
+    stack = model.fit_stack(training, bases, folds, row)
     model.save(stack, store.model)
     names = {"forest": "forest", "boosted": "boosted", "stack": "prediction"}
     return model.evaluate(stack.transform(held_out), names)
@@ -49,11 +55,12 @@ def forecast(
     as_of: Column | None = None,
     days: int = 14,
     refit_scaler: bool = False,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Forecast the day of ``as_of`` and the days after it; append to the forecast table."""
     now = F.current_timestamp() if as_of is None else as_of
     rows = fc.forecast_bands(
-        model.load(store.model), wx.forecast_window(weather, now, days), now, refit_scaler
+        model.load(store.model), wx.forecast_window(weather, now, days), now, refit_scaler, keys=keys
     )
     path = shared_dir(spark, "forecast")
     rows.write.parquet(path)

@@ -32,6 +32,10 @@ class Store:
     def hour_state(self) -> str:
         return self.path("hour_state")
 
+    @property
+    def flags(self) -> str:
+        return self.path("flags")
+
     @property
     def load_log(self) -> str:
         return self.path("load_log")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-KW = T.DecimalType(10, 2)
+# Registers only grow, so the type has room for the totals of any table; a larger one raises.
+KW = T.DecimalType(18, 2)
 
 # Meter feeds and the derived meter, in table order.
 FEEDS = ("building", "data_center", "solar")

@@ -18,10 +18,11 @@ def _required(c: Column, what: str) -> Column:
 def read_feed(spark: SparkSession, path: str, feed: str) -> DataFrame:
     """One feed's file: header row, then time text and value by position.
 
-    A malformed line or a missing time fails the read. ``seq`` grows in file
-    order: a row's number within its task never reaches the size of a split, so
-    adding the split's offset keeps lines of one file in order however the file
-    is split. Values are kept at two decimals.
+    A malformed line or a missing time fails the read. ``seq`` orders the rows of
+    a folder: files by the time they were written, then by name, lines within a
+    file by place. A row's number within its task never reaches the size of a
+    split, so adding the split's offset keeps lines of one file in order however
+    the file is split. Values are kept at two decimals.
     """
     rows = (
         spark.read.schema(RAW_FEED)
@@ -30,9 +31,14 @@ def read_feed(spark: SparkSession, path: str, feed: str) -> DataFrame:
         .option("mode", "FAILFAST")
         .csv(path)
     )
-    seq = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND(
+    line = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND(
         F.lit(ROW_BITS)
     )
+    seq = F.struct(
+        F.col("_metadata.file_modification_time").alias("written"),
+        F.col("_metadata.file_name").alias("file"),
+        line.alias("line"),
+    )
     return rows.select(
         F.lit(feed).alias("feed"),
         seq.alias("seq"),

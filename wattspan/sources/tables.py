@@ -1,12 +1,19 @@
-"""Keyed tables as parquet folders partitioned by month.
-
-A load touches the months of its batch only: inserts append to them, updates
-rewrite them by dynamic partition overwrite. Older months are never read.
+"""Keyed tables as parquet folders, one per month and write, behind a pointer.
+
+Every write goes to a folder of its own; then a numbered pointer file names, for
+each month, the folders that hold it, and the columns of the table. A reader
+follows the highest pointer, so it sees a write whole or not at all, and a
+writer that dies before the pointer is there has changed nothing. A load touches
+the months of its batch only: inserts add a folder to them, updates replace
+theirs. Folders that only pointers before the last two name are deleted.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -14,23 +21,90 @@ from wattspan.operators import merge
 
 # Partition column: the month as a number, yyyymm.
 PERIOD = "period"
+POINTERS = "_live"
+
+
+def _folder(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    folder, fs = _folder(spark, path)
+    return [x.getPath().getName() for x in fs.listStatus(folder)] if fs.exists(folder) else []
+
+
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(n) for n in _names(spark, f"{path}/{POINTERS}") if n.isdigit())
+
+
+def _pointer(spark: SparkSession, path: str, number: int) -> dict:
+    file, fs = _folder(spark, f"{path}/{POINTERS}/{number:08d}")
+    stream = fs.open(file)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text)
+
+
+def _current(spark: SparkSession, path: str) -> tuple[int, dict | None]:
+    numbers = _numbers(spark, path)
+    return (numbers[-1], _pointer(spark, path, numbers[-1])) if numbers else (0, None)
+
+
+def _publish(spark: SparkSession, path: str, number: int, state: dict) -> None:
+    """Write a pointer under a name of its own, then give it its number."""
+    draft, fs = _folder(spark, f"{path}/{POINTERS}/.{uuid.uuid4().hex}")
+    out = fs.create(draft)
+    out.write(bytearray(json.dumps(state).encode()))
+    out.close()
+    final, _ = _folder(spark, f"{path}/{POINTERS}/{number:08d}")
+    if fs.exists(final) or not fs.rename(draft, final):
+        fs.delete(draft, False)
+        raise RuntimeError(f"another writer changed {path} meanwhile")
+
+
+def _written(state: dict | None) -> set[str]:
+    return {f for folders in (state or {"months": {}})["months"].values() for f in folders}
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    """Delete pointers before the last two, and folders that only they name."""
+    numbers = _numbers(spark, path)
+    kept = set().union(*(_written(_pointer(spark, path, n)) for n in numbers[-2:]))
+    for n in numbers[:-2]:
+        for name in _written(_pointer(spark, path, n)) - kept:
+            folder, fs = _folder(spark, f"{path}/{name}")
+            fs.delete(folder, True)
+        file, fs = _folder(spark, f"{path}/{POINTERS}/{n:08d}")
+        fs.delete(file, False)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a table has been written with at least one row."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return False
-    names = (entry.getPath().getName() for entry in fs.listStatus(folder))
-    return any(not name.startswith(("_", ".")) for name in names)
+    _, state = _current(spark, path)
+    if state is not None:
+        return bool(state["months"])
+    return any(not name.startswith(("_", ".")) for name in _names(spark, path))
+
 
+def months(spark: SparkSession, path: str, lo: int = 0, hi: int = 999999) -> DataFrame:
+    """The stored rows of the months from ``lo`` to ``hi``; folders of others are not read."""
+    _, state = _current(spark, path)
+    schema = T.StructType.fromJson(state["schema"])
+    found = [
+        f"{path}/{folder}/{PERIOD}={month}"
+        for month, folders in sorted(state["months"].items())
+        if lo <= int(month) <= hi
+        for folder in folders
+    ]
+    return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
 
-def read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    if schema is not None:
-        schema = T.StructType([*schema.fields, T.StructField(PERIOD, T.IntegerType())])
-        return spark.read.schema(schema).parquet(path).drop(PERIOD)
-    return spark.read.parquet(path).drop(PERIOD)
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    return months(spark, path)
 
 
 def month_number(time):
@@ -48,28 +122,52 @@ def month_span(times) -> tuple[int, int]:
     return lo.year * 100 + lo.month, hi.year * 100 + hi.month
 
 
-def months(spark: SparkSession, path: str, lo: int, hi: int) -> DataFrame:
-    """The stored rows of the months from ``lo`` to ``hi``."""
-    return spark.read.parquet(path).where(F.col(PERIOD).between(lo, hi)).drop(PERIOD)
+def month_bounds(span: tuple[int, int]) -> tuple[datetime, datetime]:
+    """The first instant of a span of months, and the first behind it."""
+    (lo, hi), after = span, span[1] + (1 if span[1] % 100 < 12 else 89)
+    return datetime(lo // 100, lo % 100, 1), datetime(after // 100, after % 100, 1)
+
+
+def _joined(stored: dict | None, fresh: T.StructType) -> T.StructType:
+    """The columns a table has and those a write brings; what it has keeps its type."""
+    fields = list(T.StructType.fromJson(stored["schema"]).fields) if stored else []
+    have = {f.name for f in fields}
+    fields += [f for f in fresh.fields if f.name not in have]
+    return T.StructType([T.StructField(f.name, f.dataType) for f in fields])
 
 
 def _write(
-    df: DataFrame, path: str, time: str, keys: Sequence[str], mode: str, gather: bool = True
+    df: DataFrame,
+    path: str,
+    time: str,
+    keys: Sequence[str],
+    replaced: tuple[int, int] | None,
+    gather: bool = True,
 ) -> None:
-    out = df.withColumn(PERIOD, month_number(time))
+    """Write rows to a new folder and point to it; ``replaced`` months are given up for it."""
+    spark = df.sparkSession
+    number, state = _current(spark, path)
+    schema = _joined(state, df.schema)
+    have = set(df.columns)
+    out = df.select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name in have]
+    ).withColumn(PERIOD, month_number(time))
     if gather:
         # A day of one key's rows stays together, so that later hourly aggregation
         # mostly finishes before its shuffle and time filters skip row groups. AQE
         # joins small pieces and splits crowded ones.
         together = [F.col(PERIOD), *[F.col(k) for k in keys if k != time], F.col("_day")]
         out = out.withColumn("_day", F.to_date(time)).hint("rebalance", *together).drop("_day")
-    (
-        out.sortWithinPartitions(PERIOD, time)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PERIOD)
-        .parquet(path)
-    )
+    name = uuid.uuid4().hex
+    out.sortWithinPartitions(PERIOD, time).write.partitionBy(PERIOD).parquet(f"{path}/{name}")
+    prefix = f"{PERIOD}="
+    fresh = [x.removeprefix(prefix) for x in _names(spark, f"{path}/{name}") if x.startswith(prefix)]
+    lo, hi = replaced or (1, 0)
+    held = {m: f for m, f in (state["months"] if state else {}).items() if not lo <= int(m) <= hi}
+    for month in fresh:
+        held[month] = [*held.get(month, []), name]
+    _publish(spark, path, number + 1, {"schema": schema.jsonValue(), "months": held})
+    _forget(spark, path)
 
 
 def append_new(
@@ -97,7 +195,7 @@ def append_new(
         stored = months(spark, path, *month_span(times)).where(F.col(time).between(*times))
         if not stored.isEmpty():
             rows = merge.rows_to_insert(stored, rows, keys)
-    _write(rows, path, time, keys, "append", gather)
+    _write(rows, path, time, keys, None, gather)
 
 
 def rewrite(
@@ -111,12 +209,13 @@ def rewrite(
     """Replace the months of ``span`` by ``change`` of their stored rows.
 
     ``change`` gets None while the table does not exist, and must keep rows
-    within the span.
+    within the span. A month whose rows all go is gone from the table; columns
+    that ``change`` does not return stay in the table, empty for its rows.
     """
     stored = months(spark, path, *span) if exists(spark, path) else None
-    _write(change(stored), path, time, keys, "overwrite")
+    _write(change(stored), path, time, keys, span)
 
 
 def append(df: DataFrame, path: str) -> None:
-    """Append rows, creating the table if it is not there."""
+    """Append rows to a plain folder, creating it if it is not there."""
     df.write.mode("append").parquet(path)
