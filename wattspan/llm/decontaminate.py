@@ -5,9 +5,9 @@ seed is a fixed mask over neighbouring words; the hash of a window covers only
 the words the mask selects, so a substituted word at an ignored place does not
 hide a passage. Windows of the benchmark and of the documents are joined on
 their hashes; around each hit the two word sequences are laid over each other,
-and the best stretch (a match counts 1, a substitution -4, so at least 80 % of
-it match) must be ``MIN_RUN`` words long, or as long as the item if that is
-shorter.
+and the longest stretch between two matches of which at least 80 % match (a match
+counts 1, a substitution -4, and the sum is not negative) must be ``MIN_RUN``
+words long, or as long as the item if that is shorter.
 
 Documents are read once. A filter of fixed size over the benchmark's hashes
 tells which windows can meet one; it is broadcast whatever the benchmark's size,
@@ -175,11 +175,17 @@ def segments(docs: DataFrame, bits: np.ndarray) -> DataFrame:
 
 
 def best_stretch(equal: np.ndarray) -> tuple[int, int]:
-    """Begin and end of the stretch with the highest sum of 1 per match and -PENALTY otherwise."""
+    """Begin and end of the longest stretch from a match to a match that sums to 0 or more."""
     total = np.concatenate([[0], np.cumsum(np.where(equal, 1, -PENALTY))])
-    lowest = np.minimum.accumulate(total)
-    end = int(np.argmax(total - lowest))
-    return int(np.flatnonzero(total[: end + 1] == lowest[end])[-1]), end
+    ends = np.flatnonzero(equal)
+    if not len(ends):
+        return 0, 0
+    # The lowest sum before any match up to here never rises, so the first place
+    # that is low enough for an end can be searched for.
+    lowest = np.minimum.accumulate(np.where(equal, total[:-1], np.iinfo(np.int64).max))
+    begins = np.searchsorted(-lowest, -total[ends + 1], "left")
+    at = int(np.argmax(ends + 1 - begins))
+    return int(begins[at]), int(ends[at]) + 1
 
 
 FOUND = "doc_id bigint, row bigint, item bigint, start int, length int, matches int"
