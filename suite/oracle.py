@@ -68,17 +68,17 @@ def value_of(feed: str) -> str:
     return f"coalesce(max(kilowatt) FILTER (feed = '{feed}'), 0)"
 
 
-def readings_cte(site: bool = False) -> str:
+def readings_cte(site: bool = False, feeds: str = "feeds", name: str = "readings") -> str:
     """Times that both needed feeds report, by one pass over all feeds."""
     k = "site, " if site else ""
     columns = ", ".join(f"CAST({value_of(f)} AS {KW}) AS {f}" for f in METERS[:3])
-    return f"""wide AS (
-  SELECT {k}ts, {columns}, list(feed) AS reported FROM feeds GROUP BY ALL),
-readings AS (
+    return f"""{name}_wide AS (
+  SELECT {k}ts, {columns}, list(feed) AS reported FROM {feeds} GROUP BY ALL),
+{name} AS (
   SELECT {k}ts, building, data_center, solar,
          CAST(building + solar - data_center AS {KW}) AS office,
          {band_of('ts')} AS band, {sun0('ts')} AS dow
-  FROM wide WHERE list_has_all(reported, ['building', 'data_center']))"""
+  FROM {name}_wide WHERE list_has_all(reported, ['building', 'data_center']))"""
 
 
 FEEDS = feeds_cte()
@@ -420,12 +420,104 @@ SQL["error_metrics"] = f"""WITH {READINGS}, {table_cte('hour')}, m AS (
          CAST(sum((building - office) * (building - office)) AS DOUBLE) / count(*) AS mse, var_pop(CAST(building AS DOUBLE)) AS spread FROM hour)
 SELECT n, round(mae, 6) AS mae, round(mse, 6) AS mse, round(sqrt(mse), 6) AS rmse,
        round(1 - mse / spread, 6) AS r2 FROM m"""
-SQL["linreg_one"] = f"""WITH {READINGS}, {table_cte('band')}
-SELECT CAST(regr_count(CAST(building AS DOUBLE), CAST(office AS DOUBLE)) AS BIGINT) AS n,
-  round(regr_slope(CAST(building AS DOUBLE), CAST(office AS DOUBLE)), 6) AS slope,
-  round(regr_intercept(CAST(building AS DOUBLE), CAST(office AS DOUBLE)), 6) AS intercept FROM band"""
+
+
+def dealt(seed: int, *keys: str) -> str:
+    """The number under 100 that deals a row to a side, from its keys as text."""
+    text = " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in keys)
+    return f"(CAST('0x' || substr(md5('{seed}|' || {text}), 1, 8) AS BIGINT) % 100)"
+
+
+SQL["train_test"] = f"""WITH {FEATURE_CTE}
+SELECT CASE WHEN {dealt(70, 'ts')} < 70 THEN 'train' ELSE 'test' END AS side, count(*) AS n,
+       round(CAST(sum(building) AS DOUBLE), 4) AS label_sum FROM indices GROUP BY 1"""
+SQL["linreg_one"] = f"""WITH {READINGS}, {table_cte('band')},
+sides AS (SELECT CAST(building AS DOUBLE) AS y, CAST(office AS DOUBLE) AS x,
+                 {dealt(0, 'day', 'band')} < 80 AS training FROM band),
+line AS (SELECT CAST(regr_count(y, x) AS BIGINT) AS n, regr_slope(y, x) AS slope,
+                regr_intercept(y, x) AS intercept FROM sides WHERE training),
+errors AS (SELECT y, y - (intercept + slope * x) AS e FROM sides, line WHERE NOT training),
+measured AS (SELECT count(*) AS test_n, avg(abs(e)) AS mae, avg(e * e) AS mse, var_pop(y) AS spread FROM errors)
+SELECT n, round(slope, 6) AS slope, round(intercept, 3) AS intercept, test_n, round(mae, 3) AS mae,
+       round(mse, 2) AS mse, round(sqrt(mse), 3) AS rmse, round(1 - mse / spread, 6) AS r2
+FROM line, measured"""
+
+# Loads ----------------------------------------------------------------------------
+
+GRAINS = {"hour": "ts", "day": "ts", "band": "day, band", "month": "ts", "year": "ts"}
+
+
+def aligned_cte(name: str, condition: str) -> str:
+    """Feed rows under a condition, up to the last time all feeds have reached."""
+    return f"""{name}_some AS (SELECT * FROM all_feeds WHERE {condition}),
+{name} AS (SELECT * FROM {name}_some WHERE ts <= (
+  SELECT min(last) FROM (SELECT max(ts) AS last FROM {name}_some GROUP BY feed)))"""
+
+
+def load_sql(first_until: str | None = None) -> str:
+    """All stored tables; with a time, buckets that a load of the rows before it holds stay."""
+    parts = [
+        feeds_cte().replace("feeds AS (", "all_feeds AS ("),
+        aligned_cte("feeds", "true"),
+        readings_cte(),
+    ]
+    if first_until:
+        parts += [
+            aligned_cte("early", f"ts < TIMESTAMP '{first_until}'"),
+            readings_cte(feeds="early", name="early_readings"),
+        ]
+    for grain, keys in GRAINS.items():
+        later = ""
+        if first_until:
+            first = delta_sql(grain, source="early_readings")
+            parts.append(f"{grain}_first AS (SELECT * FROM ({first}) {KEPT})")
+            later = f" WHERE ({keys}) NOT IN (SELECT ({keys}) FROM {grain}_first)"
+        parts.append(f"{grain}_last AS (SELECT * FROM ({delta_sql(grain)}){later})")
+        union = f"SELECT * FROM {grain}_first UNION ALL BY NAME " if first_until else ""
+        parts.append(
+            f"{grain} AS (SELECT * FROM ({union}SELECT * FROM {grain}_last) {KEPT})"
+        )
+    parts += [
+        WEATHER,
+        HOUR_WITH_WEATHER.format(table="hour", weather="weather"),
+        f"band_weather AS ({LAST_OF_BAND.format(columns=ROUNDED)})",
+        threshold_cte(),
+        flags_cte(),
+        f"day_flags AS (SELECT CAST(day AS TIMESTAMP) AS at, remote_flag FROM flags WHERE band = 2)",
+    ]
+    meters = ", ".join(METERS)
+    shown = [
+        f"SELECT 'hour' AS grain, ts, CAST(NULL AS INTEGER) AS band, {meters}, rain, CAST(NULL AS VARCHAR) AS remote FROM agg_hour",
+        f"""SELECT 'band', CAST(coalesce(b.day, w.day) AS TIMESTAMP), coalesce(b.band, w.band), {meters}, w.rain,
+  f.remote_flag FROM band b FULL OUTER JOIN band_weather w ON b.day = w.day AND b.band = w.band
+  LEFT JOIN flags f ON f.day = b.day AND f.band = b.band""",
+    ]
+    for grain in ("day", "month", "year"):
+        parts.append(
+            f"{grain}_rain AS (SELECT CAST(date_trunc('{grain}', weather.ts) AS TIMESTAMP) AS at, "
+            f"{stored('rain')} FROM weather GROUP BY 1)"
+        )
+        remote = "f.remote_flag"
+        link = f"LEFT JOIN day_flags f ON f.at = t.ts"
+        if grain != "day":
+            parts.append(f"""{grain}_share AS (
+  SELECT CAST(date_trunc('{grain}', d.ts) AS TIMESTAMP) AS at,
+         CAST(CAST(round(100.0 * count(*) FILTER (f.remote_flag = 'OK') / count(*), 2) AS DECIMAL(10,2)) AS VARCHAR) || '%' AS share
+  FROM day d JOIN day_flags f ON f.at = d.ts WHERE f.remote_flag IN ('OK', 'KO') GROUP BY 1)""")
+            remote, link = "f.share", f"LEFT JOIN {grain}_share f ON f.at = t.ts"
+        shown.append(f"""SELECT '{grain}', coalesce(t.ts, w.at), NULL, {meters}, w.rain, {remote}
+FROM {grain} t FULL OUTER JOIN {grain}_rain w ON t.ts = w.at {link}""")
+    return f"WITH {', '.join(parts)}\n" + "\nUNION ALL ".join(shown)
+
+
+SQL["load_once"] = load_sql()
+SQL["load_twice"] = load_sql(SPLIT)
+SQL["load_twice_recomputed"] = SQL["load_once"]
 
 # Streaming ------------------------------------------------------------------------
 
 SQL["stream_incremental"] = SQL["dedup_feed"]
-SQL["stream_delta_hour"] = SQL["delta_hour"]
+# Rows that arrive after the watermark has passed them are not counted.
+LATE = f"ts < TIMESTAMP '{SPLIT}' AND minute(ts) = 45 AND hour(ts) % 6 = 0"
+SQL["stream_delta_hour"] = f"""WITH {READINGS},
+timely AS (SELECT * FROM readings WHERE NOT ({LATE})) {delta_sql('hour', source='timely')}"""

@@ -33,7 +33,10 @@ BOOSTED_GRID = {"maxIter": (70, 80, 100), "maxDepth": (5, 6, 7)}
 
 
 def row_hash(seed: int, keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(buckets)).cast("int")
+    """A number under ``buckets`` from the keys as text, by a hash that any SQL engine has."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    digits = F.substring(F.md5(text.cast("binary")), 1, 8)
+    return (F.conv(digits, 16, 10).cast("bigint") % buckets).cast("int")
 
 
 def split(

@@ -66,13 +66,12 @@ def _refresh(
 
     def change(stored: DataFrame | None) -> DataFrame:
         by = buckets.key_columns(grain, keys)
-        if stored is None:
-            out = fresh
-        elif open_buckets == RECOMPUTE:
-            values = [c for c in fresh.columns if c not in by]
-            out = merge.upsert(stored, fresh, by, values)
-        else:
-            out = merge.insert_ignore(stored, fresh, by)
+        out = fresh
+        if stored is not None:
+            # A row that only has weather so far is not a stored bucket.
+            held = buckets.drop_empty(stored)
+            new = fresh if open_buckets == RECOMPUTE else merge.rows_to_insert(held, fresh, by)
+            out = merge.upsert(stored, new, by, [c for c in fresh.columns if c not in by])
         out = buckets.drop_empty(out)
         if weather is None:
             return out
