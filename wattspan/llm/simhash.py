@@ -16,7 +16,7 @@ spanning forest of them, which keeps every component.
 
 Copies by a share of shingles (0.8 and more) differ in more bits than anchors
 can cover at once. For them a text has several fingerprints, drawn from the same
-shingles by remixed hashes: the first two (128 bits) judge a pair, by the angle
+shingles by remixed hashes: the first four (256 bits) judge a pair, by the angle
 that the share implies; the others, cut into 32-bit words, bring pairs together
 at the anchors of any word. Ten words miss few pairs (README).
 """
@@ -243,8 +243,8 @@ def classes(docs: DataFrame, words: int, threshold: int = THRESHOLD) -> DataFram
     return prints.join(staged(by_print, "print-classes"), "fp")
 
 
-#: Fingerprints of a text where copies go by a share of shingles: two judge, the rest find.
-LANES, JUDGES = 7, 2
+#: Fingerprints of a text where copies go by a share of shingles: four judge, the rest find.
+LANES, JUDGES = 9, 4
 
 
 def differing_bits(similarity: float) -> int:
@@ -272,6 +272,7 @@ def lane_prints(docs: DataFrame, words: int, *others) -> DataFrame:
 
 def copy_links(firsts: DataFrame, similarity: float) -> DataFrame:
     """Links between the first fingerprints of rows (prints) that are similar enough."""
+    judges = [f"p{j}" for j in range(JUDGES)]
 
     def replicate(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
@@ -289,10 +290,11 @@ def copy_links(firsts: DataFrame, similarity: float) -> DataFrame:
                                 pa.array(anchor.view(np.int64)),
                                 *(pa.array(part[index, j]) for j in range(JUDGES)),
                             ],
-                            names=["anchor", "p0", "p1"],
+                            names=["anchor", *judges],
                         )
 
-    replicas = firsts.select("prints").mapInArrow(replicate, "anchor bigint, p0 bigint, p1 bigint")
+    schema = ", ".join(f"{c} bigint" for c in ("anchor", *judges))
+    replicas = firsts.select("prints").mapInArrow(replicate, schema)
     return compared(replicas, JUDGES, differing_bits(similarity))
 
 
