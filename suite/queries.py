@@ -91,17 +91,15 @@ def features_of(spark, sf):
 
 def _feed_files(spark, sf, folder):
     rows = derive.parsed_feed(spark, sf)
-    for feed in FEEDS:
-        one = rows.where(F.col("feed") == feed)
-        early = one.where(F.col("ts") < ntz(derive.SPLIT))
-        meter_csv.write_feed(early, f"{folder}/{feed}")
-        meter_csv.write_feed(
-            one.where(F.col("ts") >= ntz(derive.SPLIT)), f"{folder}/{feed}", mode="append"
-        )
+    early = F.col("ts") < ntz(derive.SPLIT)
+    meter_csv.write_feed(rows.where(early), folder, by="feed")
+    meter_csv.write_feed(rows.where(~early), folder, mode="append", by="feed")
 
 
 def _read_feeds(spark, folder):
-    parts = [meter_csv.read_feed(spark, f"{folder}/{f}", f) for f in FEEDS]
+    parts = [
+        meter_csv.read_feed(spark, meter_csv.feed_folder(folder, "feed", f), f) for f in FEEDS
+    ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 

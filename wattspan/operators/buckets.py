@@ -88,28 +88,22 @@ def delta_by_window(readings: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 def period_ends(readings: DataFrame, grain: str, keys: Sequence[str] = ()) -> DataFrame:
     """The readings that open or close a period; ``edge`` tells which.
 
-    A lone reading comes out once as each. Every edge names a time once, so the
-    join with the edges is a semi join for either of them, in a single pass.
+    A lone reading comes out once as each. The state of a period holds both
+    readings whole, so one scan and one hash aggregation give them.
     """
-    same = ["band", "dow"] if grain == "band" else []
-    period = F.to_date("ts") if grain == "band" else cal.truncate("ts", grain)
-    edges = (
-        readings.groupBy(*keys, *same, period.alias("_period"))
-        .agg(F.min("ts").alias("first"), F.max("ts").alias("last"))
-        .select(
-            *keys,
-            *same,
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(F.col(e).alias("ts"), F.lit(e).alias("edge"))
-                        for e in ("first", "last")
-                    ]
-                )
-            ),
+
+    def reading(edge: str) -> Column:
+        time = F.col(f"{edge}_ts")
+        return F.struct(
+            time.alias("ts"),
+            *[F.col(f"{edge}_{m}").alias(m) for m in METERS],
+            cal.time_band(f"{edge}_ts").alias("band"),
+            cal.dow_sun0(f"{edge}_ts").alias("dow"),
+            F.lit(edge).alias("edge"),
         )
-    )
-    return readings.join(edges, [*keys, *same, "ts"]).select(*readings.columns, "edge")
+
+    both = F.inline(F.array(reading("first"), reading("last")))
+    return bucket_state(readings, grain, keys).select(*keys, both)
 
 
 def drop_empty(agg: DataFrame) -> DataFrame:

@@ -47,7 +47,8 @@ def resample(weather: DataFrame, grain: str, keys: Sequence[str] = ()) -> DataFr
     if grain == "hour":
         aggs.insert(0, F.max(cal.time_band("ts")).alias("band"))
     means = weather.groupBy(*keys, cal.truncate("ts", grain).alias("ts")).agg(*aggs)
-    return spine(weather.select(*keys, "ts"), grain, keys).join(means, [*keys, "ts"], "left")
+    # The bounds come from the means, so the weather itself is read once.
+    return spine(means.select(*keys, "ts"), grain, keys).join(means, [*keys, "ts"], "left")
 
 
 def band_weather(weather: DataFrame, how: str = "last", keys: Sequence[str] = ()) -> DataFrame:

@@ -47,11 +47,24 @@ def read_feed(spark: SparkSession, path: str, feed: str) -> DataFrame:
     )
 
 
-def write_feed(feed: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Time text and value with two decimals; ``mode="append"`` adds files with their own header."""
-    feed.select(
-        F.date_format("ts", TEXT_FORMAT).alias("Date"), F.col("kilowatt").cast(KW).alias("kilowatt")
-    ).write.mode(mode).option("header", True).csv(path)
+def write_feed(
+    feed: DataFrame, path: str, mode: str = "errorifexists", by: str | None = None
+) -> None:
+    """Time text and value with two decimals; ``mode="append"`` adds files with their own header.
+
+    ``by`` names a column whose values get a folder each (``feed_folder``), all in one pass.
+    """
+    rows = feed.select(
+        *([by] if by else []),
+        F.date_format("ts", TEXT_FORMAT).alias("Date"),
+        F.col("kilowatt").cast(KW).alias("kilowatt"),
+    )
+    writer = rows.write.mode(mode).option("header", True)
+    (writer.partitionBy(by) if by else writer).csv(path)
+
+
+def feed_folder(path: str, by: str, value: str) -> str:
+    return f"{path}/{by}={value}"
 
 
 def read_forecast_sample(spark: SparkSession, path: str) -> DataFrame:
