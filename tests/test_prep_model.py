@@ -51,6 +51,11 @@ def test_filter_outliers(numbers):
     assert sorted(map(int, kept)) == list(want)
 
 
+def test_filter_outliers_approximately(numbers):
+    kept = prep.filter_outliers(numbers(list(range(1000))), "x", 0.95, accuracy=10_000).count()
+    assert abs(kept - 900) <= 4
+
+
 def test_describe_matches_pandas(numbers):
     values = [1.5, 2.25, -7, 100, 3]
     row = prep.describe(numbers(values), ["x"]).first()

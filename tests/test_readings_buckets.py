@@ -210,3 +210,11 @@ def test_sites_stay_apart(spread):
 def test_clock_change_hour(reading_rows):
     agg = buckets.delta(reading_rows(("2024-03-31 02:00:00", 1, 1, 0), ("2024-03-31 02:30:00", 3, 1, 0)), "hour")
     assert agg.first()["ts"] == datetime(2024, 3, 31, 2)
+
+
+def test_carry_loses_nothing_between_buckets(reading_rows):
+    df = reading_rows(("2024-01-01 00:10:00", 1, 0, 0), ("2024-01-01 00:50:00", 4, 0, 0),
+                      ("2024-01-01 01:05:00", 6, 0, 0), ("2024-01-01 03:30:00", 11, 0, 0))
+    for mode, want in (("within", [3, 0, 0]), ("carry", [3, 2, 5])):
+        got = buckets.delta(df, "hour", mode=mode).orderBy("ts").collect()
+        assert [int(r["building"]) for r in got] == want

@@ -219,6 +219,10 @@ def test_load_by_site(spark, stored, tmp_path):
     for grain in ("hour", "band", "month"):
         got = plan.classified(spark, store, grain, ["site"])
         same_rows(got.where("site = 2").drop("site"), plan.classified(spark, alone, grain))
+    predict.train(spark, store, {"numTrees": (2,), "maxDepth": (2,)}, {"maxIter": (2,), "maxDepth": (2,)},
+                  folds=2, search_folds=2, keys=["site"])
+    ahead = predict.forecast(spark, store, both, F.lit("2024-02-03 12:00:00"), days=1, keys=["site"])
+    assert sorted(r["site"] for r in ahead.collect()) == [1] * 6 + [2] * 6
 
 
 def test_site_that_lags_loses_nothing(spark, tmp_path):

@@ -47,16 +47,36 @@ def roll_state(state: DataFrame, grain: str, keys: Sequence[str] = ()) -> DataFr
     return _grouped(state, F.col("first_ts"), grain, keys, aggs)
 
 
-def state_delta(state: DataFrame, grain: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Consumption of every bucket from its state."""
-    deltas = [(F.col(f"last_{m}") - F.col(f"first_{m}")).cast(KW).alias(m) for m in METERS]
+def state_delta(
+    state: DataFrame, grain: str, keys: Sequence[str] = (), mode: str = "within"
+) -> DataFrame:
+    """Consumption of every bucket from its state.
+
+    ``mode="within"`` counts from the bucket's own first reading; ``"carry"`` counts from
+    the last reading of the bucket before it, so that nothing between two
+    buckets is lost. The order of buckets runs through one task per key: as many rows
+    as the calendar has buckets.
+    """
+    if mode not in ("within", "carry"):
+        raise ValueError(f"unknown mode {mode!r}")
+    before = Window.partitionBy(*keys).orderBy("first_ts")
+
+    def start(m: str) -> Column:
+        first = F.col(f"first_{m}")
+        if mode == "within":
+            return first
+        return F.coalesce(F.lag(f"last_{m}").over(before), first)
+
+    deltas = [(F.col(f"last_{m}") - start(m)).cast(KW).alias(m) for m in METERS]
     dow = [cal.dow_sun0("first_ts").alias("dow")] if grain in WITH_DOW else []
     return state.select(*key_columns(grain, keys), *deltas, *dow)
 
 
-def delta(readings: DataFrame, grain: str, keys: Sequence[str] = ()) -> DataFrame:
+def delta(
+    readings: DataFrame, grain: str, keys: Sequence[str] = (), mode: str = "within"
+) -> DataFrame:
     """Consumption per bucket straight from readings."""
-    return state_delta(bucket_state(readings, grain, keys), grain, keys)
+    return state_delta(bucket_state(readings, grain, keys), grain, keys, mode)
 
 
 def delta_by_window(readings: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -107,6 +107,24 @@ def _narrowed(counts: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
+def approximate_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int
+) -> DataFrame:
+    """Quantiles whose rank is off by a share of 1/accuracy of the rows at most, in one pass."""
+    points = F.array(*[F.lit(float(p)) for p in probs])
+    found = df.agg(
+        *[F.percentile_approx(F.col(c).cast("double"), points, accuracy).alias(c) for c in columns]
+    )
+    each = F.array(
+        *[
+            F.struct(F.lit(c).alias("name"), F.lit(float(p)).alias("prob"), F.col(c)[i].alias("value"))
+            for c in columns
+            for i, p in enumerate(probs)
+        ]
+    )
+    return found.select(F.inline(each)).where("value IS NOT NULL")
+
+
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Exact quantiles with linear interpolation of numeric columns: (name, prob, value).
 
@@ -145,9 +163,18 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) ->
     return ends.select("name", "prob", value.alias("value"))
 
 
-def filter_outliers(df: DataFrame, column: str, threshold: float) -> DataFrame:
-    """Rows between the (1 - threshold) and the threshold quantile, both included."""
-    found = quantiles(df, [column], [1 - threshold, threshold])
+def filter_outliers(
+    df: DataFrame, column: str, threshold: float, accuracy: int | None = None
+) -> DataFrame:
+    """Rows between the (1 - threshold) and the threshold quantile, both included.
+
+    ``accuracy`` asks for approximate quantiles instead of exact ones.
+    """
+    probs = [1 - threshold, threshold]
+    if accuracy:
+        found = approximate_quantiles(df, [column], probs, accuracy)
+    else:
+        found = quantiles(df, [column], probs)
     limits = found.agg(
         F.struct(
             F.max(F.when(F.col("prob") == 1 - threshold, F.col("value"))).alias("lo"),
