@@ -29,6 +29,7 @@ from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -221,7 +222,7 @@ def verified(pairs: DataFrame) -> DataFrame:
 
 def item_words(items: DataFrame) -> DataFrame:
     @F.pandas_udf("array<int>")
-    def found(texts):
+    def found(texts: pd.Series) -> pd.Series:
         return texts.map(lambda x: words_of(x).view(np.int32))
 
     return items.select("item", found("text").alias("item_words"))

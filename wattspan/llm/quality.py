@@ -102,7 +102,8 @@ def sample(labels: DataFrame, label: str, folds: int, fold: int, bound: int = SA
     usable = labels.where(~held_out("doc_id", folds, fold)).select(
         "doc_id", F.col(label).cast("int").alias("label")
     )
-    usable = usable.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
+    # Labels that repeat count once, so that the share taken is one of different rows.
+    usable = usable.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).distinct()
     share = bound / max(1, usable.count())
     place = F.xxhash64(F.lit(11), id_or_last()).cast("double") / 2.0**64 + 0.5
     return usable.where(place < share)

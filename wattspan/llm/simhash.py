@@ -26,6 +26,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -259,7 +260,7 @@ def lane_prints(docs: DataFrame, words: int, *others) -> DataFrame:
     """The named columns and ``prints``, the fingerprints of all lanes."""
 
     @F.pandas_udf("array<bigint>")
-    def found(texts):
+    def found(texts: pd.Series) -> pd.Series:
         def of(text: str) -> np.ndarray:
             hashes = shingle_hashes(text, words)
             prints = [fingerprint(remixed(hashes, lane)) for lane in range(LANES)]

@@ -5,8 +5,8 @@ their occurrences, so surrogates are made once per distinct value: letters and
 digits are drawn from a keyed hash of the value and take the place of letters
 and digits, vowels for vowels, in the same script; a given name ends as names of
 its gender do; a card number passes the check of its last digit, an address
-keeps its top-level domain, a phone number its country, octets stay octets. Case, separators and titles are
-those of the occurrence.
+keeps its top-level domain, a phone number its country, octets stay octets. Case,
+separators and titles are those of the occurrence.
 
 Values that differ only in case or separators are one value and get one
 surrogate in all documents (coreference). A surrogate that two values of a kind
@@ -44,7 +44,7 @@ KINDS = {
     "secret": r"(?<![\p{L}\d])" + SECRET + r"[^\s\"']{6,200}",
     "access_key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "phone": r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
-    r"|(?<![\d(])\(\d{3}\) ?\d{3}[-. ]\d{4}(?!\d)|(?<![\d.-])\d{3}[-.]\d{3}[-.]\d{4}(?![\d-])",
+    r"|(?<![\d(])\(\d{3}\) ?\d{3}[-. ]\d{4}(?!\d)|(?<![\d.-])\d{3}[-. ]\d{3}[-. ]\d{4}(?![\d-])",
     "ip": r"(?<![\d.])(?:" + OCTET + r"\.){3}" + OCTET + r"(?!\.?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])",
