@@ -12,14 +12,20 @@ SETTING = "spark.checkpoint.dir"
 LAST = 2**63 - 1
 
 
+#: The folder of a local session that names none; made once.
+_OWN: list[str] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``; a folder is made only where it is unset."""
+    """A fresh path below ``spark.checkpoint.dir``; a folder is made only where it is unset and
+    the master is local."""
     base = spark.conf.get(SETTING, None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {SETTING} to a folder that every executor reaches")
-        base = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set(SETTING, base)
+        if not _OWN:
+            _OWN.append(tempfile.mkdtemp(prefix="llm-"))
+        base = _OWN[0]
     return f"{base.rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
