@@ -34,17 +34,23 @@ def pin(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# The folder of a local session that names none; made once.
+_OWN: list[str] = []
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 
-    A folder of this machine is used only on a local master without the setting.
+    A folder of this machine is used only on a local master without the setting, which stays
+    as it is.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="wattspan-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not _OWN:
+            _OWN.append(tempfile.mkdtemp(prefix="wattspan-"))
+        base = _OWN[0]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
