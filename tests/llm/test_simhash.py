@@ -130,3 +130,35 @@ def test_one_of_odd_rows(nasty, nothing):
     # All texts without words are one group, and its first document stays.
     assert [i for i, t in texts if not (t or "").strip()] == [1]
     assert simhash.one_of_each(nothing).count() == 0
+
+
+def shingles(text, words=5):
+    found = text.lower().split()
+    return {tuple(found[i : i + words]) for i in range(max(1, len(found) - words + 1))}
+
+
+def test_near_copies_around_the_similarity_equal_brute_force(spark):
+    rng = random.Random(8)
+    line = [f"common{i}" for i in range(12)]
+    rows = []
+    for k in range(150):
+        base = [f"w{rng.randrange(9000)}" for _ in range(rng.randint(30, 250))]
+        base[3:3] = line
+        share = rng.uniform(0.7, 0.9)  # some five shingles change with a word
+        changes = max(1, round(len(base) * (1 - share) / (1 + share) / 5))
+        for c in range(3):
+            copy = list(base)
+            for at in rng.sample(range(len(copy)), changes if c else 0):
+                copy[at] = f"x{rng.randrange(9000)}"
+            rows.append((10 * k + c, " ".join(copy)))
+    rows += [(5000, "a b c d e f"), (5001, "A b c  d e f"), (5002, "a b c d e g"), (5003, "")]
+    sets = [shingles(t) for _, t in rows]
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if rows[i][0] // 10 == rows[j][0] // 10]
+    likeness = [len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i, j in pairs]
+    assert sum(0.8 <= x < 0.85 for x in likeness) > 20 and sum(0.7 < x < 0.8 for x in likeness) > 50
+    # Documents of different groups share one line only.
+    near = {p for p, x in zip(pairs, likeness) if x >= 0.8}
+    classes = slow_classes(range(len(rows)), lambda i, j: (i, j) in near)
+    want = sorted({rows[c][0] for c in classes})
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert sorted(r["doc_id"] for r in simhash.one_of_each(docs).collect()) == want
