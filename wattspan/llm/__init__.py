@@ -1,4 +1,4 @@
-"""Operators for preparing training text: ten operators and the queries that apply them."""
+"""Operators for preparing training text: operators and the queries that apply them."""
 
 import sys
 
