@@ -13,6 +13,7 @@ from wattspan.operators import (
     buckets,
     clean,
     forecast,
+    linear,
     merge,
     metrics,
     model,
@@ -560,17 +561,80 @@ def tuned_forest(spark, sf):
     return model.evaluate(best.fit(train).transform(test), {"forest": "forest"})
 
 
-@query
-def linreg_multi(spark, sf):
-    """Building load from seven inputs, missing values as 0."""
-    inputs = ["office", "data_center", "band", "dow", "temperature_2m", "rain", "cloud_cover"]
+SEVEN = ["office", "data_center", "band", "dow", "temperature_2m", "rain", "cloud_cover"]
+
+
+def _bands_with_weather(spark, sf):
+    """Bands with their weather, missing values as 0, written once."""
     path = shared_dir(spark, "bands")
     merge_weather_band(spark, sf).write.parquet(path)
-    rows = model.with_label(prep.fill_zero(spark.read.parquet(path)))
-    train, test = model.split(rows, 80, seed=0, keys=("day", "band"))
-    vectors = model.assembler(inputs, scaled=())
-    fit = model.linear().fit(vectors.transform(train))
-    return model.evaluate(fit.transform(vectors.transform(test)), {"linear": "prediction"})
+    return model.with_label(prep.fill_zero(spark.read.parquet(path)))
+
+
+def _rounded_errors(rows, columns):
+    digits = {"mae": 3, "mse": 2, "rmse": 3, "r2": 6}
+    return model.evaluate(rows, columns).withColumns({c: F.round(c, d) for c, d in digits.items()})
+
+
+@query
+def linreg_multi(spark, sf):
+    """Building load from seven inputs, missing values as 0: errors on a fifth of the bands."""
+    train, test = model.split(_bands_with_weather(spark, sf), 80, seed=0, keys=("day", "band"))
+    fit = linear.fit(linear.state(train, SEVEN, model.LABEL))
+    return _rounded_errors(linear.predict(test, fit, SEVEN), {"linear": "prediction"})
+
+
+@query
+def linreg_coefficients(spark, sf):
+    """The line through seven inputs, from the merged states of its months."""
+    rows = _bands_with_weather(spark, sf).withColumn("month", F.date_trunc("month", "day"))
+    months = linear.state(rows, SEVEN, model.LABEL, ["month"])
+    fit = linear.fit(linear.merged(months, len(SEVEN) + 1)).select("n", "fit.*")
+    weights = [F.round(F.col("weights")[i], 6).alias(f"w_{c}") for i, c in enumerate(SEVEN)]
+    return fit.select("n", F.round("intercept", 3).alias("intercept"), *weights)
+
+
+BASES = {"by_office": ["office"], "by_center": ["data_center"]}
+
+
+@query
+def lasso_meta(spark, sf):
+    """A lasso over the out-of-fold values of two lines, its weights and errors."""
+    keys = ("day", "band")
+    train, test = model.split(_bands_with_weather(spark, sf), 80, seed=0, keys=keys)
+    dealt = train.withColumn("_fold", model.row_hash(model.SEED + 2, keys, 5))
+    meta = linear.fit(
+        linear.state(linear.out_of_fold(dealt, BASES, model.LABEL, 5), list(BASES), model.LABEL), 1.0
+    )
+    scored = test
+    for name, inputs in BASES.items():
+        scored = linear.predict(scored, linear.fit(linear.state(train, inputs, model.LABEL)), inputs, output=name)
+    names = {n: n for n in BASES} | {"stack": "prediction"}
+    errors = _rounded_errors(linear.predict(scored, meta, list(BASES)), names)
+    found = meta.select(F.struct("fit.*").alias("f")).scalar()
+    return errors.withColumn("_f", found).select(
+        "*",
+        F.round("_f.intercept", 3).alias("intercept"),
+        *[F.round(F.col("_f.weights")[i], 6).alias(f"w_{n}") for i, n in enumerate(BASES)],
+    ).drop("_f")
+
+
+WEATHER_INPUTS = ["temperature_2m", "relative_humidity_2m", "cloud_cover", "wind_speed_10m", "hour", "dow", "band"]
+
+
+@query
+def forecast_linear(spark, sf):
+    """Fit before the forecast window, score its hours, roll them up, append, read back."""
+    hours = derive.weather_hourly(spark, sf)
+    past = model.with_label(features_of(spark, sf).where(F.col("ts") < ntz(derive.AS_OF + " 00:00:00")))
+    fit = linear.fit(linear.state(past, WEATHER_INPUTS, model.LABEL))
+    window = weather.forecast_window(hours, F.lit(derive.AS_OF))
+    scored = linear.predict(forecast.future_rows(window), fit, WEATHER_INPUTS)
+    rows = forecast.rolled_up(scored, ntz(derive.AS_OF + " 00:00:00"))
+    path = shared_dir(spark, "forecasts")
+    tables.append(rows, path)
+    digits = dict.fromkeys(SCALED_FEATURES, 6) | {forecast.FORECAST: 3}
+    return spark.read.parquet(path).withColumns({c: F.round(c, d) for c, d in digits.items()})
 
 
 def _stack(train):

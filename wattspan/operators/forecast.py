@@ -62,5 +62,12 @@ def forecast_bands(
 ) -> DataFrame:
     """Forecast table rows for hourly future weather, of each key's own if there are any."""
     scored = score(model, future_rows(weather, wind_factor, keys), refit_scaler)
+    return rolled_up(scored, updated_at, keys)
+
+
+def rolled_up(
+    scored: DataFrame, updated_at: Column | None = None, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Forecast table rows of scored hours, with the time they were made."""
     stamp = F.current_timestamp() if updated_at is None else updated_at
     return band_rollup(scored, keys=keys).withColumn("updated_at", stamp.cast("timestamp_ntz"))
