@@ -21,8 +21,8 @@ def library():
 
 @pytest.fixture(scope="module")
 def ids():
-    of_text = bpe.encoder(bpe.Pieces(bpe.read_vocabulary(PATH)))
-    return lambda text: np.frombuffer(of_text(text), np.int32).tolist()
+    of_texts = bpe.encoder(bpe.Pieces(bpe.read_vocabulary(PATH)))
+    return lambda text: np.frombuffer(next(of_texts([text])), np.int32).tolist()
 
 
 def theirs(library, text):
@@ -60,15 +60,21 @@ def test_merges_equal_a_plain_search():
     for _ in range(500):
         piece = bytes(rng.choice(b"aaabcdeinorst \xc3\xa9") for _ in range(rng.randint(1, 70)))
         assert bpe.encode_piece(piece, words) == plain(piece)
+    merger = bpe.Merger(words)
+    for width in (1, 2, 4, 8, 16, 32, 64):
+        pieces = [bytes(rng.choice(b"aaabcdeinorst \xc3\xa9") for _ in range(rng.randint(2, width + 1))) for _ in range(300)]
+        got = [np.frombuffer(x, np.int32).tolist() for x in merger.merge(pieces, width)]
+        assert got == [plain(p) for p in pieces]
 
 
 def test_kept_pieces_are_bounded(monkeypatch, library):
-    monkeypatch.setattr(bpe, "KEPT", 10)
+    monkeypatch.setattr(bpe, "KEPT", 100)
+    monkeypatch.setattr(bpe, "BLOCK", 1 << 10)
     pieces = bpe.Pieces(bpe.read_vocabulary(PATH))
-    of_text = bpe.encoder(pieces)
-    text = " ".join(f"word{i}x" for i in range(500))
-    assert np.frombuffer(of_text(text), np.int32).tolist() == theirs(library, text)
-    assert len(pieces) <= 10
+    texts = [" ".join(f"word{chr(97 + i % 26)}{i // 7}x" for i in range(k, k + 40)) for k in range(0, 2000, 13)]
+    got = [np.frombuffer(x, np.int32).tolist() for x in bpe.encoder(pieces)(texts)]
+    assert got == [theirs(library, text) for text in texts]
+    assert len(pieces) + len(pieces.old) <= 800  # two halves, and what one block brings
 
 
 def test_columns(spark, library, small, nasty, nothing):

@@ -7,10 +7,11 @@ root is the lowest rank and, among equals, its leftmost place. That pair becomes
 one symbol: the leaf of its right half is emptied, the leaves of the new symbol
 and of the one before it get new ranks, and each change climbs one path to the
 root. A piece is done when the root is empty. n bytes cost n log n steps, however
-long the piece is.
+long the piece is. Short pieces of a block are merged side by side, one numpy step
+for a merge in each of them; long ones have a tree to themselves.
 
-Pieces repeat within a language, so a worker keeps the ids of those it has met,
-a bounded number of short ones.
+Pieces repeat within a language, so a worker keeps the ids of those it has met: a
+bounded number of short ones, the older half of which gives way to new ones.
 
 Decoding joins the bytes of the ids; bytes that are no UTF-8 become U+FFFD.
 
@@ -27,6 +28,7 @@ import re
 from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,8 +39,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wattspan.llm.staging import table, text_of, worker_store
 from wattspan.llm.tokens import PATTERN, VOCABULARY, printed_bytes
 
-#: Pieces whose ids a worker keeps, and the longest of them.
+#: Pieces whose ids a worker keeps, and the most bytes of one that is kept.
 KEPT, KEPT_LENGTH = 500_000, 64
+#: Characters of texts that are encoded at once; a longer text is a block of its own.
+BLOCK = 1 << 20
 #: A leaf is rank * 2^40 + place; an empty one is above all others.
 PLACE, EMPTY = 40, 1 << 62
 
@@ -133,43 +137,144 @@ def encode_piece(piece: bytes, words: Vocabulary) -> list[int]:
     return out
 
 
+class Merger:
+    """Merges short pieces side by side: a row has the symbols and the tree of one piece."""
+
+    def __init__(self, words: Vocabulary):
+        known = sorted(words.pairs.items())
+        self.keys = np.array([k for k, _ in known] + [EMPTY], np.int64)
+        self.ranks = np.array([r for _, r in known] + [0], np.int64)
+        self.merged = np.array(words.merged, np.int64)
+        self.of_byte = np.array([*words.of_byte, -1], np.int64)
+
+    def leaf(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Rank and place of pairs; empty where there is no such pair."""
+        key = left << 32 | right
+        at = np.searchsorted(self.keys, key)
+        there = (self.keys[at] == key) & (right >= 0) & (left >= 0)
+        return np.where(there, self.ranks[at] << PLACE | place, EMPTY)
+
+    def merge(self, pieces: list[bytes], width: int) -> list[bytes]:
+        """Ids of pieces of 2 to ``width`` + 1 bytes, ``width`` a power of two."""
+        rows = len(pieces)
+        padded = np.full((rows, width + 2), 256, np.int64)
+        sizes = np.fromiter(map(len, pieces), np.int64, rows)
+        inside = np.arange(width + 2) < sizes[:, None]
+        padded[inside] = np.frombuffer(b"".join(pieces), np.uint8)
+        symbols = self.of_byte[padded]
+        tree = np.full((rows, 2 * width), EMPTY, np.int64)
+        tree[:, width:] = self.leaf(symbols[:, :width], symbols[:, 1 : width + 1], np.arange(width))
+        level = width // 2
+        while level:
+            below = tree[:, 2 * level : 4 * level]
+            tree[:, level : 2 * level] = np.minimum(below[:, ::2], below[:, 1::2])
+            level //= 2
+        # The place before the first is kept behind the last.
+        after = np.tile(np.arange(1, width + 3), (rows, 1))
+        before = np.tile(np.arange(-1, width + 1), (rows, 1))
+        active = np.flatnonzero(tree[:, 1] != EMPTY)
+        while len(active):
+            root = tree[active, 1]
+            i = root & (1 << PLACE) - 1
+            j = after[active, i]
+            k, h = after[active, j], before[active, i]
+            symbols[active, i] = self.merged[root >> PLACE]
+            symbols[active, j] = -1
+            after[active, i] = k
+            before[active, np.minimum(k, width + 1)] = i
+            right = np.where(k <= width, symbols[active, np.minimum(k, width + 1)], -1)
+            gone = j < width
+            tree[active[gone], width + j[gone]] = EMPTY
+            tree[active, width + i] = self.leaf(symbols[active, i], right, i)
+            has = h >= 0
+            tree[active[has], width + h[has]] = self.leaf(
+                symbols[active[has], h[has]], symbols[active[has], i[has]], h[has]
+            )
+            nodes = [width + i, width + np.minimum(j, width - 1), width + np.maximum(h, 0)]
+            step = width
+            while step > 1:
+                nodes = [n >> 1 for n in nodes]
+                for n in nodes:
+                    tree[active, n] = np.minimum(tree[active, 2 * n], tree[active, 2 * n + 1])
+                step >>= 1
+            active = active[tree[active, 1] != EMPTY]
+        left = symbols >= 0
+        flat = symbols[left].astype(np.int32).tobytes()
+        ends = np.cumsum(left.sum(axis=1)).tolist()
+        return [flat[4 * a : 4 * b] for a, b in zip([0, *ends], ends)]
+
+
 class Pieces(dict):
-    """The ids of pieces as the bytes of int32 numbers, encoded when they are first asked for."""
+    """The ids of pieces as the bytes of int32 numbers, two generations of them."""
 
     def __init__(self, words: Vocabulary):
         super().__init__()
-        self.words = words
+        self.words, self.merger, self.old = words, Merger(words), {}
+
+    def encode(self, piece: str) -> bytes:
+        return array("i", encode_piece(piece.encode("utf-8", "surrogatepass"), self.words)).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        ids = encode_piece(piece.encode("utf-8", "surrogatepass"), self.words)
-        found = array("i", ids).tobytes()
+        found = self.old.get(piece) or self.encode(piece)
         if len(piece) <= KEPT_LENGTH:
-            if len(self) >= KEPT:
-                self.clear()
             self[piece] = found
         return found
 
-
-def encoder(pieces: Pieces) -> Callable[[str], bytes]:
-    """A function from a text to its ids, the bytes of int32 numbers."""
+    def learn(self, pieces: set[str]) -> None:
+        """Encode what is not known yet of the pieces, short ones side by side."""
+        if len(self) > KEPT // 2:
+            self.old = dict(self)
+            self.clear()
+        by_width: dict[int, tuple[list[str], list[bytes]]] = {}
+        for piece in pieces:
+            if piece in self or piece in self.old:
+                continue
+            raw = piece.encode("utf-8", "surrogatepass")
+            if 1 < len(raw) <= KEPT_LENGTH:
+                names, raws = by_width.setdefault(1 << (len(raw) - 2).bit_length(), ([], []))
+                names.append(piece)
+                raws.append(raw)
+        for width, (names, raws) in by_width.items():
+            for at in range(0, len(raws), BLOCK // width // 16):
+                part = slice(at, at + BLOCK // width // 16)
+                self.update(zip(names[part], self.merger.merge(raws[part], width)))
+
+
+def encoder(pieces: Pieces) -> Callable[[list[str]], Iterator[bytes]]:
+    """A function from texts to their ids, the bytes of int32 numbers."""
     every, plain = regex.compile(PATTERN).findall, re.compile(PLAIN_PATTERN).findall
     special, ids_of = pieces.words.special, pieces.__getitem__
     longest_first = sorted(special, key=len, reverse=True)
     cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")").split
 
-    def ids(part: str) -> bytes:
-        return b"".join(map(ids_of, plain(part) if part.isascii() else every(part)))
-
-    def of_text(text: str) -> bytes:
+    def parts(text: str) -> list[list[str] | bytes]:
+        """The pieces between special strings, and the ids of these."""
         if not any(s in text for s in longest_first):
-            return ids(text)
-        parts = cut(text)
-        return b"".join(
-            array("i", [special[part]]).tobytes() if at % 2 else ids(part)
-            for at, part in enumerate(parts)
-        )
-
-    return of_text
+            return [plain(text) if text.isascii() else every(text)]
+        return [
+            array("i", [special[part]]).tobytes() if at % 2 else every(part)
+            for at, part in enumerate(cut(text))
+        ]
+
+    def of_texts(texts: list[str]) -> Iterator[bytes]:
+        at = 0
+        while at < len(texts):
+            block, held = [], 0
+            while at < len(texts) and (not block or held + len(texts[at]) <= BLOCK):
+                block.append(parts(texts[at]))
+                held += len(texts[at])
+                at += 1
+            seen: set[str] = set()
+            for part in chain.from_iterable(block):
+                if isinstance(part, list):
+                    seen.update(part)
+            pieces.learn(seen)
+            for text in block:
+                yield b"".join(
+                    part if isinstance(part, bytes) else b"".join(map(ids_of, part)) for part in text
+                )
+
+    return of_texts
 
 
 def encode(path: str, spark: SparkSession, text: Column | str = "text") -> Column:
@@ -184,9 +289,9 @@ def encode(path: str, spark: SparkSession, text: Column | str = "text") -> Colum
         kept = worker_store(f"ids of pieces of {path}")
         if "pieces" not in kept:
             kept["pieces"] = Pieces(shipped.value)
-        of_text = encoder(kept["pieces"])
+        of_texts = encoder(kept["pieces"])
         for part in texts:
-            found = [of_text(x) for x in part.to_pylist()]
+            found = list(of_texts(part.to_pylist()))
             ends = np.cumsum([0, *map(len, found)]) // 4
             flat = np.frombuffer(b"".join(found), np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
