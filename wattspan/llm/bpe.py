@@ -31,7 +31,6 @@ from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -40,7 +39,7 @@ from wattspan.llm.staging import table, text_of, worker_store
 from wattspan.llm.tokens import PATTERN, VOCABULARY, printed_bytes
 
 #: Pieces whose ids a worker keeps, and the most bytes of one that is kept.
-KEPT, KEPT_LENGTH = 500_000, 64
+KEPT, KEPT_LENGTH = 300_000, 64
 #: Characters of texts that are encoded at once; a longer text is a block of its own.
 BLOCK = 1 << 20
 #: A leaf is rank * 2^40 + place; an empty one is above all others.
@@ -223,7 +222,8 @@ class Pieces(dict):
     def learn(self, pieces: set[str]) -> None:
         """Encode what is not known yet of the pieces, short ones side by side."""
         if len(self) > KEPT // 2:
-            self.old = dict(self)
+            self.old.clear()
+            self.old.update(self)
             self.clear()
         by_width: dict[int, tuple[list[str], list[bytes]]] = {}
         for piece in pieces:
@@ -277,6 +277,23 @@ def encoder(pieces: Pieces) -> Callable[[list[str]], Iterator[bytes]]:
     return of_texts
 
 
+def of_worker(path: str, words: Vocabulary) -> Callable[[list[str]], Iterator[bytes]]:
+    """The encoder of this worker, with the pieces it has met."""
+    kept = worker_store(f"ids of pieces of {path}")
+    if "pieces" not in kept:
+        kept["pieces"] = Pieces(words)
+    return encoder(kept["pieces"])
+
+
+def id_arrays(found: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, found)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32)))
+
+
+def text_of_ids(ids: list[int], raw: dict[int, bytes]) -> str:
+    return b"".join(map(raw.__getitem__, filter(raw.__contains__, ids))).decode("utf-8", "replace")
+
+
 def encode(path: str, spark: SparkSession, text: Column | str = "text") -> Column:
     """The ids of a text column by the vocabulary at ``path``, an array of int.
 
@@ -286,15 +303,9 @@ def encode(path: str, spark: SparkSession, text: Column | str = "text") -> Colum
 
     @F.arrow_udf("array<int>")
     def encoded(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kept = worker_store(f"ids of pieces of {path}")
-        if "pieces" not in kept:
-            kept["pieces"] = Pieces(shipped.value)
-        of_texts = encoder(kept["pieces"])
+        of_texts = of_worker(path, shipped.value)
         for part in texts:
-            found = list(of_texts(part.to_pylist()))
-            ends = np.cumsum([0, *map(len, found)]) // 4
-            flat = np.frombuffer(b"".join(found), np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+            yield id_arrays(list(of_texts(part.to_pylist())))
 
     return encoded(text_of(text)).alias("ids")
 
@@ -303,24 +314,30 @@ def decode(path: str, spark: SparkSession, ids: Column | str = "ids") -> Column:
     """The text of an array of ids by the vocabulary at ``path``."""
     shipped = spark.sparkContext.broadcast(read_vocabulary(path).raw)
 
-    @F.pandas_udf("string")
-    def decoded(arrays: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        raw = shipped.value
-
-        def of(ids: np.ndarray | None) -> str:
-            known = () if ids is None else filter(raw.__contains__, ids.tolist())
-            return b"".join(map(raw.__getitem__, known)).decode("utf-8", "replace")
-
+    @F.arrow_udf("string")
+    def decoded(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in arrays:
-            yield part.map(of, na_action=None)
+            yield pa.array([text_of_ids(ids.as_py() or [], shipped.value) for ids in part], pa.string())
 
     return decoded(ids if isinstance(ids, Column) else F.col(ids)).alias("decoded")
 
 
 def encoded(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """The rows with the ids of their text (``ids``) and what these decode to (``decoded``)."""
-    spark = docs.sparkSession
-    return docs.withColumn("ids", encode(path, spark, text)).withColumn("decoded", decode(path, spark))
+    shipped = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+
+    # Both in one worker, so that ids do not travel to another one and back.
+    @F.arrow_udf("struct<ids: array<int>, decoded: string>")
+    def both(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        of_texts = of_worker(path, shipped.value)
+        for part in texts:
+            found = list(of_texts(part.to_pylist()))
+            back = [text_of_ids(np.frombuffer(x, np.int32).tolist(), shipped.value.raw) for x in found]
+            yield pa.StructArray.from_arrays([id_arrays(found), pa.array(back, pa.string())], ["ids", "decoded"])
+
+    return docs.withColumn("_both", both(text_of(text))).withColumns(
+        {"ids": F.col("_both.ids"), "decoded": F.col("_both.decoded")}
+    ).drop("_both")
 
 
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
