@@ -11,12 +11,18 @@ from tests.conftest import at
 from wattspan import session
 from wattspan.operators import buckets, clean, readings, remote, weather
 from wattspan.plans import load as plan
+from wattspan.operators import ensemble
 from wattspan.plans import predict
 from wattspan.plans.store import Store
 from wattspan.schema import READINGS, WEATHER
 from wattspan.sources import load_log, meter_csv, tables
 from wattspan.streaming import feeds as streaming
 
+SMALL = (
+    {"trees": (3,), "depth": (3,), "least": (2,)}, {"rounds": (2,), "leaves": (4,), "kind": ("gbdt",)},
+)
+
+
 
 def same_rows(a, b):
     assert sorted(a.columns) == sorted(b.columns)
@@ -219,8 +225,7 @@ def test_load_by_site(spark, stored, tmp_path):
     for grain in ("hour", "band", "month"):
         got = plan.classified(spark, store, grain, ["site"])
         same_rows(got.where("site = 2").drop("site"), plan.classified(spark, alone, grain))
-    predict.train(spark, store, {"numTrees": (2,), "maxDepth": (2,)}, {"maxIter": (2,), "maxDepth": (2,)},
-                  folds=2, search_folds=2, keys=["site"])
+    predict.train(spark, store, *SMALL, folds=2, search_folds=2, keys=["site"])
     ahead = predict.forecast(spark, store, both, F.lit("2024-02-03 12:00:00"), days=1, keys=["site"])
     assert sorted(r["site"] for r in ahead.collect()) == [1] * 6 + [2] * 6
 
@@ -301,16 +306,38 @@ def test_state_file_is_read_and_appended(spark, feed_rows, tmp_path):
     assert [str(r["end"]) for r in got] == ["2024-01-01 10:00:00", "2024-01-02 10:00:00"]
 
 
-def test_train_and_forecast(spark, stored):
+def test_train_and_forecast(spark, stored, monkeypatch):
     _, month_weather, store = stored
-    errors = predict.train(
-        spark, store, {"numTrees": (3,), "maxDepth": (3,)}, {"maxIter": (2,), "maxDepth": (2,)},
-        folds=2, search_folds=2)
+    errors = predict.train(spark, store, *SMALL, folds=2, search_folds=2)
     assert {r["model"] for r in errors.collect()} == {"forest", "boosted", "stack"}
     as_of = F.lit("2024-02-03 12:00:00")
+
+    def rows():
+        return tables.read_parts(spark, store.forecasts).count()
+
     first = predict.forecast(spark, store, month_weather, as_of, days=1)
     assert first.count() == 6
     predict.forecast(spark, store, month_weather, as_of, days=1)
-    assert spark.read.parquet(store.forecasts).count() == 12
+    assert rows() == 6  # the run replaced its own rows
+    predict.forecast(spark, store, month_weather, F.lit("2024-02-02 12:00:00"), days=1)
+    assert rows() == 12
+    refit = predict.forecast(spark, store, month_weather, as_of, days=1, refit_scaler=True)
+    assert refit.count() == 6 and set(refit.columns) == set(first.columns)
 
 
+def test_training_that_dies_leaves_the_old_model(spark, stored, monkeypatch):
+    _, month_weather, store = stored
+    predict.train(spark, store, *SMALL, folds=2, search_folds=2)
+    before = ensemble.load(spark, store.model)
+
+    def dies(spark, stack, folder):
+        written(spark, stack, folder)
+        raise RuntimeError("killed before the switch")
+
+    written = ensemble.write
+    monkeypatch.setattr(ensemble, "write", dies)
+    with pytest.raises(RuntimeError, match="killed"):
+        predict.train(spark, store, {**SMALL[0], "trees": (7,)}, SMALL[1], folds=2, search_folds=2)
+    held = ensemble.load(spark, store.model)
+    assert len(held.forest.trees) == len(before.forest.trees) == 3
+    assert held.weights == before.weights

@@ -11,6 +11,7 @@ from wattspan.functions import calendar as cal
 from wattspan.functions import comfort
 from wattspan.operators import model as ml
 from wattspan.operators import prep
+from wattspan.operators.ensemble import Stack
 from wattspan.schema import CALENDAR_FEATURES, SCALED_FEATURES
 
 FORECAST = "building_forecast"
@@ -28,12 +29,14 @@ def future_rows(
     )
 
 
-def score(model: PipelineModel, rows: DataFrame, refit_scaler: bool = False) -> DataFrame:
+def score(model: PipelineModel | Stack, rows: DataFrame, refit_scaler: bool = False) -> DataFrame:
     """Rows with their prediction.
 
     ``refit_scaler`` scales by the batch's own statistics instead of the
     training statistics.
     """
+    if isinstance(model, Stack):
+        return model.score(rows, refit_scaler).select(*rows.columns, "prediction")
     if refit_scaler:
         model = PipelineModel([ml.fit_scaler(rows), *model.stages[1:]])
     return model.transform(rows).select(*rows.columns, "prediction")
@@ -53,7 +56,7 @@ def band_rollup(
 
 
 def forecast_bands(
-    model: PipelineModel,
+    model: PipelineModel | Stack,
     weather: DataFrame,
     updated_at: Column | None = None,
     refit_scaler: bool = False,

@@ -219,3 +219,35 @@ def rewrite(
 def append(df: DataFrame, path: str) -> None:
     """Append rows to a plain folder, creating it if it is not there."""
     df.write.mode("append").parquet(path)
+
+
+# Whole folders behind a pointer: parts that are replaced one by one -----------------------
+
+
+def put(spark: SparkSession, path: str, part: str, write: Callable[[str], None]) -> None:
+    """Let ``write`` fill a folder of its own, then point ``part`` to it.
+
+    What the part held before counts until the pointer is there, and readers of it are not
+    disturbed; the same part put again replaces itself only.
+    """
+    number, state = _current(spark, path)
+    name = uuid.uuid4().hex
+    write(f"{path}/{name}")
+    held = {**(state["months"] if state else {}), part: [name]}
+    _publish(spark, path, number + 1, {"months": held})
+    _forget(spark, path)
+
+
+def parts(spark: SparkSession, path: str) -> dict[str, str]:
+    """The folder of every part."""
+    _, state = _current(spark, path)
+    return {p: f"{path}/{folders[0]}" for p, folders in (state or {"months": {}})["months"].items()}
+
+
+def put_rows(df: DataFrame, path: str, part: str) -> None:
+    put(df.sparkSession, path, part, df.write.parquet)
+
+
+def read_parts(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all parts of a table written by ``put_rows``."""
+    return spark.read.option("mergeSchema", True).parquet(*parts(spark, path).values())
