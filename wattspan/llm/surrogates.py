@@ -11,8 +11,9 @@ separators and titles are those of the occurrence.
 Values that differ only in case or separators are one value and get one
 surrogate in all documents (coreference). A surrogate that two values of a kind
 would share, or that is itself a value found in the documents, is drawn again
-for all but one of them, until all are distinct; names grow after some attempts, so
-this ends.
+for all but one of them, until all are distinct: after some attempts surrogates
+grow, and after ``ENDING`` they take in 128 bits of their hash, so this ends whatever
+the values are. A secret without a letter or digit is no entity.
 
 Occurrences meet their surrogates in a join on the found string; the values, not
 the occurrences, are joined to build the table, and a value found in a third of
@@ -34,22 +35,30 @@ from wattspan.llm.staging import id_or_last, staged, table, text_of
 MALE = ("Mr", "Herr", "Señor", "Sr", "Monsieur", "господин", "г-н", "κύριος")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "госпожа", "г-жа", "κυρία")
 OPEN = ("Dr", "Prof", "Mx")
-TITLE = r"(?:" + "|".join(sorted(MALE + FEMALE + OPEN, key=len, reverse=True)) + r")\.? "
-NAME = r"\p{Lu}[\p{L}'’-]{1,40}"
+TITLES = "|".join(sorted({x for t in MALE + FEMALE + OPEN for x in (t, t.upper())}, key=lambda t: (-len(t), t)))
+GAP = r"[ \t]{1,4}"
+NAME = r"\p{Lu}[\p{L}'’-]++"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-SECRET = r"(?i:password|passwd|secret|token|api[_-]?key)[ \t]{0,4}[=:][ \t]{0,4}[\"']?"
+SECRET = r"(?i:password|passwd|secret|token|api[_-]?key)[\"']?[ \t]{0,4}[=:][ \t]{0,4}"
+BLOCK = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+KEY = r"(?:AKIA|(?:ghp|gho|ghs|github_pat|sk_live|sk_test|rk_live|xoxb|xoxp)[_-])"
 COUNTRY = r"^\+(?:\d{1,3}(?=[ .(-])|[17]|\d{2})"
+GROUP = r"[ .-]?\d{1,4}"
 KINDS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "secret": r"(?<![\p{L}\d])" + SECRET + r"[^\s\"']{6,200}",
-    "access_key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "phone": r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
-    r"|(?<![\d(])\(\d{3}\) ?\d{3}[-. ]\d{4}(?!\d)|(?<![\d.-])\d{3}[-. ]\d{3}[-. ]\d{4}(?![\d-])",
+    "private_key": BLOCK + r"[^-]++-----END [A-Z ]{0,40}PRIVATE KEY-----",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
+    "secret": r"(?<![\p{L}\d])" + SECRET + r"""(?:"[^"\n]{6,}+"|'[^'\n]{6,}+'|[^\s"']{6,}+)""",
+    "access_key": r"(?<![A-Za-z0-9_])(?:AKIA[0-9A-Z]{16}|" + KEY + r"[A-Za-z0-9_-]{16,}+)(?![A-Za-z0-9])",
+    "phone": r"(?<![\d+])\+(?=(?:[ .()-]{0,2}\d){7,15}(?!\d))\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:" + GROUP + r"){1,7}(?!\d)"
+    r"|(?<![\d(])\(\d{3}\) ?\d{3}[-. ]\d{4}(?!\d)|(?<![\d.-])\d{3}[-. ]\d{3}[-. ]\d{4}(?![\d-])"
+    r"|(?<![\d.,-])0\d{2,4}[ -]\d{3,4}[ -]\d{3,4}(?![\d.,-])",
     "ip": r"(?<![\d.])(?:" + OCTET + r"\.){3}" + OCTET + r"(?!\.?\d)",
+    "ip6": r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    r"|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])",
-    "person": r"(?<!\p{L})" + TITLE + NAME + r"(?: " + NAME + r")?",
+    "person": r"(?<!\p{L})(?:" + TITLES + r")\.?(?:" + GAP + "(?:" + TITLES + r")(?!\p{L})\.?)*+(?:" + GAP + NAME + ")+",
 }
 PATTERN = "|".join(KINDS.values())
 # Vowels and consonants of the scripts that names are drawn in.
@@ -58,8 +67,23 @@ SCRIPTS = {
     "cyrillic": ("аеиоу", "бвгдзклмнпрстфх", "а", "н", "е"),
     "greek": ("αειου", "βγδζθκλμνπρστφχ", "α", "ς", "ε"),
 }
-#: Attempts after which the surrogate of a name grows.
-GROWING = 6
+# Letters that stand in for those of scripts without case.
+OTHERS = {
+    r"\p{IsHan}": "山川田中木林森石水火土金日月天地人心手口目耳牛馬鳥魚米竹花草",
+    r"\p{IsHiragana}": "あいうえおかきくけこさしすせそたちつてとなにぬねの",
+    r"\p{IsKatakana}": "アイウエオカキクケコサシスセソタチツテトナニヌネノ",
+    r"\p{IsHangul}": "가나다라마바사아자차카타파하고노도로모보소오조호",
+    r"\p{IsArabic}": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
+    r"\p{IsHebrew}": "אבגדהוזחטיכלמנסעפצקרשת",
+    r"\p{IsDevanagari}": "कखगघचछजझटठडढतथदधनपफबभमयरलवशस",
+    r"\p{IsThai}": "กขคงจฉชซญดตถทธนบปผพฟมยรลวสหอ",
+}
+ANY = "abcdefghijklmnopqrstuvwxyz"
+#: Attempts after which a surrogate grows, and after which it ends in a part of its hash, so that
+#: every value has a surrogate of its own after a bounded number of attempts.
+GROWING, ENDING = 6, 20
+# Kinds whose form has a fixed length.
+FIXED = ("ip", "card", "access_key", "ssn")
 
 
 def kind_of(found: Column) -> Column:
@@ -67,6 +91,8 @@ def kind_of(found: Column) -> Column:
     out = None
     for kind, pattern in KINDS.items():
         fits = found.rlike(f"^(?:{pattern})$")
+        if kind == "secret":  # a value of marks only tells nothing
+            fits &= F.regexp_replace(found, f"^{SECRET}", "").rlike(r"[\p{L}\p{N}]")
         if kind == "card":
             fits &= F.call_function("luhn_check", F.regexp_replace(found, "[^0-9]", ""))
         out = F.when(fits, kind) if out is None else out.when(fits, kind)
@@ -88,23 +114,40 @@ def parts_of(found: Column, kind: Column) -> Column:
         of = F.lit(None).cast("string") if of is None else F.lit(of) if isinstance(of, str) else of
         return F.struct(of.alias("kind"), raw.alias("raw"))
 
-    words = F.split(found, " ")
-    title = F.regexp_replace(words[0], r"\.$", "")
-    gender = F.when(title.isin(*MALE), "m").when(title.isin(*FEMALE), "f").otherwise("n")
-    last = F.element_at(words, -1)
-    surname = part(F.concat(F.lit("surname-"), script_of(last)), last)
-    given = part(F.concat_ws("-", F.lit("given"), gender, script_of(words[1])), words[1])
-    space = part(None, F.lit(" "))
-    person = F.when(
-        F.size(words) == 3, F.array(part(None, words[0]), space, given, space, surname)
-    ).otherwise(F.array(part(None, words[0]), space, surname))
-    label = F.regexp_extract(found, f"^{SECRET}", 0)
-    value = F.substr(found, F.length(label) + 1)
+    tokens = F.regexp_extract_all(found, F.lit(r"[ \t]+|[^ \t]+"), F.lit(0))
+    plain = F.transform(tokens, lambda t: F.regexp_replace(t, r"\.$", ""))
+
+    def titled(titles):
+        both = sorted({x for t in titles for x in (t, t.upper())})
+        return F.arrays_overlap(F.slice(plain, 1, leading), F.array(*map(F.lit, both)))
+
+    # Titles stand at odd places before the names.
+    every = [x for t in MALE + FEMALE + OPEN for x in (t, t.upper())]
+    named = F.filter(
+        F.sequence(F.lit(1), F.size(tokens), F.lit(2)), lambda i: ~F.element_at(plain, i).isin(*every)
+    )
+    leading = F.coalesce(F.try_element_at(named, F.lit(1)) - 1, F.size(tokens))
+    gender = F.when(titled(MALE), "m").when(titled(FEMALE), "f").otherwise("n")
+
+    def of_token(token: Column, i: Column) -> Column:
+        given = F.concat_ws("-", F.lit("given"), gender, script_of(token))
+        name = F.when(i == F.size(tokens) - 1, F.concat(F.lit("surname-"), script_of(token))).otherwise(given)
+        return part(F.when((i >= leading) & ~token.rlike(r"^[ \t]"), name), token)
+
+    person = F.transform(tokens, of_token)
+    label = F.regexp_extract(found, f"^{SECRET}[\"']?", 0)
+    quote = F.when(label.rlike("[\"']$"), F.right(label, F.lit(1))).otherwise("")
+    value = F.substr(found, F.length(label) + 1, F.length(found) - F.length(label) - F.length(quote))
+    prefix = F.regexp_extract(found, f"^{KEY}", 0)
+    head, foot = F.regexp_extract(found, f"^{BLOCK}", 0), F.regexp_extract(found, "-----END [A-Z ]*PRIVATE KEY-----$", 0)
+    body = F.substr(found, F.length(head) + 1, F.length(found) - F.length(head) - F.length(foot))
     country = F.regexp_extract(found, COUNTRY, 0)
     local = F.substr(found, F.length(country) + 1)
     return (
         F.when(kind == "person", person)
-        .when(kind == "secret", F.array(part(None, label), part("secret", value)))
+        .when(kind == "secret", F.array(part(None, label), part("secret", value), part(None, quote)))
+        .when(kind == "access_key", F.array(part(None, prefix), part("access_key", F.substr(found, F.length(prefix) + 1))))
+        .when(kind == "private_key", F.array(part(None, head), part("private_key", body), part(None, foot)))
         .when(kind == "phone", F.array(part(None, country), part("phone", local)))
         .otherwise(F.array(part(kind, found)))
     )
@@ -113,7 +156,7 @@ def parts_of(found: Column, kind: Column) -> Column:
 def normal(kind: Column, raw: Column) -> Column:
     """The value behind a part: without case where case does not tell, without separators."""
     return (
-        F.when(kind.isin("secret", "access_key"), raw)
+        F.when(kind.isin("secret", "access_key", "private_key"), raw)
         .when(kind.isin("phone", "ssn", "card", "iban"), F.lower(F.regexp_replace(raw, "[^0-9A-Za-z]", "")))
         .otherwise(F.lower(raw))
     )
@@ -139,13 +182,16 @@ def _like(char: Column, at: Column, byte: Column, hexadecimal: Column) -> Column
             _drawn(consonants, byte)
         )
         out = out.when(char.rlike(script), F.when(char != low, F.upper(plain)).otherwise(plain))
-    return out.when(char.rlike(r"\p{L}"), F.lit("x")).otherwise(char)
+    for script, letters in OTHERS.items():
+        out = out.when(char.rlike(script), _drawn(letters, byte))
+    out = out.when(char.rlike(r"\p{L}"), _drawn(ANY, byte))
+    return out.when(char.rlike(r"\p{N}"), (byte % 10).cast("string")).otherwise(char)
 
 
 def with_surrogate(values: DataFrame, key: str) -> DataFrame:
     """Values (kind, norm, attempt) with the surrogate their hash draws."""
     seed = F.concat_ws("\x1f", F.lit(key), "kind", "norm", F.col("attempt").cast("string"))
-    size = F.length("norm") + 2 * F.col("attempt") + 16
+    size = F.length("norm") + 2 * F.col("attempt") + 16 + 2 * F.lit(ENDING)
     blocks = F.sequence(F.lit(0), F.floor(size / 32).cast("int"))
     stream = F.array_join(
         F.transform(blocks, lambda i: F.sha2(F.concat(seed, F.lit("\x1f"), i.cast("string")), 256)), ""
@@ -157,7 +203,7 @@ def with_surrogate(values: DataFrame, key: str) -> DataFrame:
         return F.conv(pair, 16, 10).cast("int")
 
     def shaped(text: Column) -> Column:
-        hexadecimal = (F.col("kind") == "secret") & text.rlike("^[0-9a-f]+$")
+        hexadecimal = ((F.col("kind") == "secret") & text.rlike("^[0-9a-f]+$")) | (F.col("kind") == "ip6")
         chars = F.split(text, "(?!^)(?!$)")
         return F.array_join(
             F.transform(chars, lambda c, i: _like(c, i, byte(i), hexadecimal)), ""
@@ -165,7 +211,8 @@ def with_surrogate(values: DataFrame, key: str) -> DataFrame:
 
     kind, norm = F.col("kind"), F.col("norm")
     top = F.regexp_extract(norm, r"\.[a-z0-9-]+$", 0)
-    email = F.concat(shaped(F.substr(norm, F.lit(1), F.length(norm) - F.length(top))), top)
+    local = F.regexp_extract(norm, "^[^@]*", 0)
+    at_host = F.substr(norm, F.length(local) + 1, F.length(norm) - F.length(local) - F.length(top))
     octets = [byte(F.lit(i)) for i in range(4)]
     ip = F.concat_ws(
         ".", *[x.cast("string") for x in (octets[0] % 223 + 1, *octets[1:3], octets[3] % 254 + 1)]
@@ -177,12 +224,9 @@ def with_surrogate(values: DataFrame, key: str) -> DataFrame:
     digits = F.array(*[F.lit(str(d)) for d in range(10)])
     fits = F.filter(digits, lambda d: F.call_function("luhn_check", F.concat(body, d)))
     card = F.concat(body, fits[0])
-    key_id = F.concat(F.lit("AKIA"), shaped(F.substr(norm, F.lit(5))))
     out = (
-        F.when(kind == "email", email)
-        .when(kind == "ip", ip)
+        F.when(kind == "ip", ip)
         .when(kind == "card", card)
-        .when(kind == "access_key", key_id)
     )
     more = F.sequence(F.lit(0), F.greatest(F.col("attempt") - GROWING, F.lit(0)))
 
@@ -193,6 +237,13 @@ def with_surrogate(values: DataFrame, key: str) -> DataFrame:
 
         return F.array_join(F.transform(F.filter(more, lambda i: i > 0), syllable), "")
 
+    # Drawn over the whole, so that the parts of an address do not repeat each other.
+    whole = shaped(F.concat(local, at_host))
+    longer = grown(*SCRIPTS["latin"][:2])
+    email = F.concat(
+        F.substr(whole, F.lit(1), F.length(local)), longer, F.substr(whole, F.length(local) + 1), top
+    )
+    out = out.when(kind == "email", email)
     for script, (vowels, consonants, female, male, neutral) in SCRIPTS.items():
         syllables = grown(vowels, consonants)
         name = F.concat(shaped(norm), syllables)
@@ -200,7 +251,13 @@ def with_surrogate(values: DataFrame, key: str) -> DataFrame:
         for gender, end in (("f", female), ("m", male), ("n", neutral)):
             stem = F.substr(name, F.lit(1), F.length(name) - 1)
             out = out.when(kind == f"given-{gender}-{script}", F.concat(stem, F.lit(end)))
-    return values.withColumn("surrogate", out.otherwise(shaped(norm))).drop("_stream")
+    numbers = F.regexp_replace(F.substr(F.col("_stream"), F.lit(1), 2 * F.size(more) - 2), "[a-f]", "7")
+    out = out.when(kind.isin("phone", "iban"), F.concat(shaped(norm), numbers))
+    out = out.when(kind.isin(*FIXED), shaped(norm)).otherwise(F.concat(shaped(norm), longer))
+    # In the end a part of the hash tells apart what the form leaves no room for.
+    last = F.concat(out, F.lit("-"), F.substr(F.col("_stream"), F.lit(1), F.lit(32)))
+    ended = F.when(F.col("attempt") >= ENDING, last).otherwise(out)
+    return values.withColumn("surrogate", ended).drop("_stream")
 
 
 def distinct_surrogates(values: DataFrame, key: str) -> DataFrame:
