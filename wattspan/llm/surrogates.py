@@ -54,7 +54,7 @@ KINDS = {
     r"|(?<![\d.,-])0\d{2,4}[ -]\d{3,4}[ -]\d{3,4}(?![\d.,-])",
     "ip": r"(?<![\d.])(?:" + OCTET + r"\.){3}" + OCTET + r"(?!\.?\d)",
     "ip6": r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
-    r"|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])",
+    r"|(?=[0-9A-Fa-f:]*[0-9A-Fa-f]{3})(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])",
@@ -81,7 +81,7 @@ OTHERS = {
 ANY = "abcdefghijklmnopqrstuvwxyz"
 #: Attempts after which a surrogate grows, and after which it ends in a part of its hash, so that
 #: every value has a surrogate of its own after a bounded number of attempts.
-GROWING, ENDING = 6, 20
+GROWING, ENDING = 3, 8
 # Kinds whose form has a fixed length.
 FIXED = ("ip", "card", "access_key", "ssn")
 
@@ -174,7 +174,7 @@ def _like(char: Column, at: Column, byte: Column, hexadecimal: Column) -> Column
         F.when((at == 0) & (char != "0"), (byte % 9 + 1).cast("string")).otherwise(
             (byte % 10).cast("string")
         ),
-    ).when(hexadecimal, _drawn("abcdef", byte))
+    ).when(hexadecimal & low.rlike("[a-f]"), _drawn("abcdef", byte))
     for vowels, consonants, *_ in SCRIPTS.values():
         # Accented vowels of the script fall under its consonants, which does no harm.
         script = {"aeiou": r"\p{IsLatin}", "аеиоу": r"\p{IsCyrillic}"}.get(vowels, r"\p{IsGreek}")
