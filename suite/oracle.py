@@ -609,3 +609,13 @@ SQL["stream_incremental"] = SQL["dedup_feed"]
 LATE = f"ts < TIMESTAMP '{SPLIT}' AND minute(ts) = 45 AND hour(ts) % 6 = 0"
 SQL["stream_delta_hour"] = f"""WITH {READINGS},
 timely AS (SELECT * FROM readings WHERE NOT ({LATE})) {delta_sql('hour', source='timely')}"""
+SQL["stream_dedup"] = f"WITH {RAW} SELECT feed, seq, ts, kilowatt FROM raw"
+SQL["stream_late_rows"] = f"WITH {READINGS} SELECT * FROM readings WHERE {LATE}"
+# A window closes once the last time but an hour has passed its end.
+CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM timely)"
+for _grain, _day in (("day", "ts"), ("band", "CAST(day AS TIMESTAMP)")):
+    SQL[f"stream_delta_{_grain}"] = f"""WITH {READINGS},
+timely AS (SELECT * FROM readings WHERE NOT ({LATE})),
+closed AS ({delta_sql(_grain, source='timely')})
+SELECT * FROM closed WHERE {_day} + INTERVAL 1 DAY <= {CLOSED}"""
+

@@ -729,6 +729,65 @@ def stream_delta_hour(spark, sf):
     return streaming.latest(spark, out, ["ts"]).select("ts", *METERS, "dow")
 
 
+@query
+def stream_dedup(spark, sf):
+    """Rows that two overlapping drops deliver twice, once each, by the state of the stream."""
+    streaming.keep_state_on_disk(spark)
+    rows = derive.parsed_feed(spark, sf)
+    folder, out, checkpoint = (shared_dir(spark, n) for n in ("drops", "once", "checkpoint"))
+    drops = [
+        rows.where(F.col("ts") < ntz(derive.SPLIT)),
+        rows.where(F.col("ts") >= ntz("2024-01-19 00:00:00")),
+    ]
+    for drop in drops:
+        drop.write.mode("append").parquet(folder)
+        stream = streaming.stream_files(spark, folder, rows.schema)
+        streaming.write_updates(streaming.deduplicated(stream, "3 days"), out, checkpoint, "append")
+    return spark.read.parquet(out).select("feed", "seq", "ts", "kilowatt")
+
+
+def _late_readings():
+    return (F.col("ts") < ntz(derive.SPLIT)) & (F.minute("ts") == 45) & (F.hour("ts") % 6 == 0)
+
+
+def _dealt_readings(spark, sf, aggregate=None):
+    """Readings in two drops, some of them days late: folders of late rows and of closed windows."""
+    streaming.keep_state_on_disk(spark)
+    folder, timely, late, out, dealing, checkpoint = (
+        shared_dir(spark, n) for n in ("readings", "timely", "late", "closed", "dealing", "checkpoint")
+    )
+    rows = readings_of(spark, sf)
+    for drop in (rows.where(~_late_readings()), rows.where(_late_readings())):
+        drop.write.mode("append").parquet(folder)
+        stream = streaming.stream_files(spark, folder, READINGS)
+        streaming.split_late(stream, timely, late, dealing, "1 HOUR")
+        if aggregate:
+            stream = streaming.stream_files(spark, timely, READINGS)
+            streaming.write_updates(aggregate(stream), out, checkpoint, "append")
+    return late, out
+
+
+@query
+def stream_late_rows(spark, sf):
+    """The readings that came too late for the streams, kept beside them."""
+    late, _ = _dealt_readings(spark, sf)
+    return spark.read.schema(READINGS).parquet(late).select(*READINGS.names)
+
+
+@query
+def stream_delta_day(spark, sf):
+    """Days that the watermark has passed, from the hours of a stream."""
+    _, out = _dealt_readings(spark, sf, lambda s: streaming.chained_delta(s, "day", "1 hour"))
+    return spark.read.parquet(out).select("ts", *METERS, "dow")
+
+
+@query
+def stream_delta_band(spark, sf):
+    """Bands of the days that the watermark has passed, from the hours of a stream."""
+    _, out = _dealt_readings(spark, sf, lambda s: streaming.chained_delta(s, "band", "1 hour"))
+    return spark.read.parquet(out).select("day", "band", *METERS, "dow")
+
+
 # Loads ---------------------------------------------------------------------------
 
 
