@@ -7,18 +7,24 @@ hide a passage. Windows of the benchmark and of the documents are joined on
 their hashes; around each hit the two word sequences are laid over each other,
 and the longest stretch between two matches of which at least 80 % match (a match
 counts 1, a substitution -4, and the sum is not negative) must be ``MIN_RUN``
-words long, or as long as the item if that is shorter.
+words long. A shorter item must lie in the document as a whole, with 80 % of its words.
 
-Documents are read once. A filter of fixed size over the benchmark's hashes
-tells which windows can meet one; it is broadcast whatever the benchmark's size,
-and windows it lets through by chance fall out at the join. Hits that overlap
-are kept as one segment of words with some context, so neither texts nor windows
-are shuffled, and a passage found in very many documents costs each of them one
-segment.
+The masks are complete: no stretch of 13 words or more that is accepted, wherever its
+substitutions lie, is without a window that some mask sees (a test goes through
+all of them). An item of 6 to 12 words with s substitutions allowed is cut into s + 1
+parts, one of which must be whole; the first words of each part are its windows.
+
+Documents are read once. A filter over the benchmark's hashes tells which windows
+can meet one; it is broadcast, with some 24 bits for each of the benchmark's
+windows and 128 MB at most, beyond which more windows pass by chance; those fall out
+at the join. Hits that lie near each other are kept as one segment of words with
+some context, so neither texts nor windows are shuffled, and a passage found in very
+many documents costs each of them one segment. Between segments more than
+96 words hit nothing, whose sum is far below zero: they are passages of their own.
 
 Nulls and limits: a null text has no words and is clean; items without an id are
-searched as well; items of fewer words than the shortest mask are not searched,
-as chance would find them everywhere. Repeated rows give one result. Empty
+searched as well; items of fewer than six words are not searched, as chance would
+find them everywhere. Repeated rows give one result. Empty
 tables give an empty result. Further columns play no part, and ``clean`` returns
 those it got.
 """
@@ -35,15 +41,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattspan.llm.staging import id_or_last, staged, table, text_of
 
-# The masks (1: the word counts) and the characters that end a word.
-MASKS = ("111111", "11011011", "1101001101", "10110010111")
+# The masks (1: the word counts), and those of parts of short items.
+MASKS = ("1101111", "1100010111", "11111001", "100101111")
+PART_MASKS = ("111", "1111")
+EVERY_MASK = MASKS + PART_MASKS
 BREAKS = bytes(b for b in range(128) if not chr(b).isalnum())
 
-MIN_RUN = 13
+MIN_RUN, LEAST_ITEM = 13, 6
 PENALTY = 4
 #: Words kept on both sides of a hit.
 CONTEXT = 48
-#: Bits of the filter over the benchmark's hashes: 8 MB.
+#: Bits of a filter over hashes, as a power of two: by default 8 MB. That of the benchmark
+#: follows its windows between 2^20 and 2^30.
 FILTER_BITS = 26
 
 _TO_SPACE = bytes(32 if b in BREAKS else b for b in range(256))
@@ -76,54 +85,68 @@ def window_hashes(words: np.ndarray, mask: str, number: int) -> np.ndarray:
     return mixed(out)
 
 
-def filter_places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def filter_places(hashes: np.ndarray, size: int = FILTER_BITS) -> tuple[np.ndarray, np.ndarray]:
     """Two bits of the filter for every hash."""
-    low = np.uint64(2**FILTER_BITS - 1)
-    return hashes & low, hashes >> np.uint64(64 - FILTER_BITS)
+    low = np.uint64(2**size - 1)
+    return hashes & low, hashes >> np.uint64(64 - size)
+
+
+def item_windows(words: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Number of the mask, places and hashes of the windows by which an item is found."""
+    n = len(words)
+    if n >= MIN_RUN:
+        for number, mask in enumerate(MASKS):
+            h = window_hashes(words, mask, number)
+            yield number, np.arange(len(h)), h
+    elif n >= LEAST_ITEM:
+        parts = n // (PENALTY + 1) + 1
+        begins = [n * k // parts for k in range(parts + 1)]
+        for lo, hi in zip(begins, begins[1:]):
+            number = len(MASKS) + (hi - lo >= len(PART_MASKS[1]))
+            yield number, np.array([lo]), window_hashes(words[lo:hi], EVERY_MASK[number], number)[:1]
 
 
 def test_windows(items: DataFrame) -> DataFrame:
-    """Hash, item and place of every window of the benchmark."""
+    """Hash, mask, item and place of every window of the benchmark."""
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
             for item, text in zip(*(c.to_pylist() for c in batch.columns)):
-                words = words_of(text)
-                for number, mask in enumerate(MASKS):
-                    h = window_hashes(words, mask, number)
+                for number, at, h in item_windows(words_of(text)):
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(h.view(np.int64)),
+                            pa.array([number] * len(h), pa.int32()),
                             pa.array([item] * len(h), pa.int64()),
-                            pa.array(np.arange(len(h), dtype=np.int32)),
+                            pa.array(at.astype(np.int32)),
                         ],
-                        names=["h", "item", "item_pos"],
+                        names=["h", "mask", "item", "item_pos"],
                     )
 
-    return items.select("item", "text").mapInArrow(batches, "h bigint, item bigint, item_pos int")
+    return items.select("item", "text").mapInArrow(batches, "h bigint, mask int, item bigint, item_pos int")
 
 
-def filter_of(windows: DataFrame) -> np.ndarray:
-    """The filter's bits in 64-bit words; at most 2^FILTER_BITS / 64 rows reach the driver."""
-    low = F.col("h").bitwiseAND(F.lit(2**FILTER_BITS - 1))
-    high = F.shiftrightunsigned("h", 64 - FILTER_BITS)
+def filter_of(windows: DataFrame, size: int = FILTER_BITS) -> np.ndarray:
+    """The filter's bits in 64-bit words; at most 2^size / 64 rows reach the driver."""
+    low = F.col("h").bitwiseAND(F.lit(2**size - 1))
+    high = F.shiftrightunsigned("h", 64 - size)
     rows = (
         windows.select(F.explode(F.array(low, high)).alias("bit"))
         .groupBy(F.floor(F.col("bit") / 64).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 AS int))")).alias("bits"))
         .toPandas()
     )
-    out = np.zeros(2**FILTER_BITS // 64, np.uint64)
+    out = np.zeros(2**size // 64, np.uint64)
     out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
     return out
 
 
-def candidates(words: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the windows that the filter lets through, by place."""
-    places, hashes = [], []
-    for number, mask in enumerate(MASKS):
-        h = window_hashes(words, mask, number)
-        one, two = filter_places(h)
+def candidates(words: np.ndarray, bits: np.ndarray, masks=range(len(EVERY_MASK))) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the windows of some masks that the filter lets through, by place."""
+    places, hashes, size = [], [], (64 * len(bits)).bit_length() - 1
+    for number in masks:
+        h = window_hashes(words, EVERY_MASK[number], number)
+        one, two = filter_places(h, size)
         passed = np.flatnonzero(bits[one >> np.uint64(6)] >> (one & np.uint64(63)) & np.uint64(1))
         two = two[passed]
         passed = passed[
@@ -131,6 +154,8 @@ def candidates(words: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndar
         ]
         places.append(passed)
         hashes.append(h[passed])
+    if not places:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     place, hashed = np.concatenate(places), np.concatenate(hashes)
     order = np.argsort(place, kind="stable")
     return place[order], hashed[order]
@@ -141,14 +166,14 @@ SEGMENT = (
 )
 
 
-def segments(docs: DataFrame, bits: np.ndarray) -> DataFrame:
+def segments(docs: DataFrame, bits: np.ndarray, masks=range(len(EVERY_MASK))) -> DataFrame:
     """Stretches of documents that the filter lets through, with their windows' hashes."""
     shipped = docs.sparkSession.sparkContext.broadcast(bits)
-    longest = max(map(len, MASKS))
+    longest = max(map(len, EVERY_MASK))
 
     def of_text(row, doc_id, text):
         words = words_of(text)
-        place, hashed = candidates(words, shipped.value)
+        place, hashed = candidates(words, shipped.value, masks)
         if not len(place):
             return
         cuts = np.flatnonzero(np.diff(place) > 2 * CONTEXT) + 1
@@ -206,8 +231,13 @@ def verified(pairs: DataFrame) -> DataFrame:
                 last = min(start + len(words), shift + len(item_words))
                 doc_part = np.array(words[first - start : last - start])
                 equal = doc_part == np.array(item_words[first - shift : last - shift])
-                lo, hi = best_stretch(equal)
-                if hi - lo >= min(MIN_RUN, len(item_words)):
+                if len(item_words) >= MIN_RUN:
+                    lo, hi = best_stretch(equal)
+                    good = hi - lo >= MIN_RUN
+                else:
+                    lo, hi = 0, len(equal)
+                    good = hi == len(item_words) and equal.sum() * (PENALTY + 1) >= PENALTY * hi
+                if good:
                     out.append((doc_id, row, item, first + lo, hi - lo, int(equal[lo:hi].sum())))
             if out:
                 kinds = [pa.int64()] * 3 + [pa.int32()] * 3
@@ -237,12 +267,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ).withColumn("item", F.xxhash64("text"))
     texts = items.dropDuplicates(["item"])
     windows = staged(test_windows(texts), "test-windows")
-    found = staged(segments(docs, filter_of(windows)), "segments")
+    # One row for each of the masks that the items need.
+    masks = {r["mask"]: r["count"] for r in windows.groupBy("mask").count().collect()}
+    size = min(30, max(20, (24 * sum(masks.values())).bit_length()))
+    found = staged(segments(docs, filter_of(windows, size), sorted(masks)), "segments")
     hits = found.select(
         "row", "start", F.explode(F.arrays_zip("pos", F.col("hashes").alias("h"))).alias("hit")
     ).select("row", "start", F.col("hit.pos").alias("pos"), F.col("hit.h").alias("h"))
     laid = (
-        hits.join(windows, "h")
+        hits.join(windows.drop("mask"), "h")
         .select("row", "start", "item", (F.col("pos") - F.col("item_pos")).alias("shift"))
         .distinct()
     )
