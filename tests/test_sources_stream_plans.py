@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import at
+from tests.conftest import at, kw
 from wattspan import session
 from wattspan.operators import buckets, clean, readings, remote, weather
 from wattspan.plans import load as plan
@@ -341,3 +341,54 @@ def test_training_that_dies_leaves_the_old_model(spark, stored, monkeypatch):
     held = ensemble.load(spark, store.model)
     assert len(held.forest.trees) == len(before.forest.trees) == 3
     assert held.weights == before.weights
+
+
+def test_flags_are_kept_up_by_months(spark, tmp_path):
+    """Loads month by month give the flags of one load, and read no month they do not touch."""
+    start = at("2024-01-01 00:00:00")
+
+    def raw(first, last):
+        rows = []
+        for day in range(first, last):
+            t = start + timedelta(days=day)
+            month, work = t.month, t.weekday() < 5
+            for hour in (9, 18):
+                # Whole registers; the office load of a day is its building load.
+                spent = (40 + 3 * (day % 7) if work else 5 + month) if hour == 18 else 0
+                rows += [("building", t.replace(hour=hour), 1000 * day + spent), ("data_center", t.replace(hour=hour), 7)]
+        data = [(f, n, ts, kw(v)) for n, (f, ts, v) in enumerate(rows)]
+        return spark.createDataFrame(data, "feed string, seq bigint, ts timestamp_ntz, kilowatt decimal(18,2)")
+
+    once, steps = Store(str(tmp_path / "once")), Store(str(tmp_path / "steps"))
+    assert plan.load(raw(0, 150), once)
+    for until in (31, 45, 90, 121, 150):
+        assert plan.load(raw(0, until), steps)
+        # What was flagged before is what one load of the same days flags.
+        whole = remote.band_flags(tables.read(spark, steps.agg("band")))
+        same_rows(tables.read(spark, steps.flags), whole)
+    same_rows(tables.read(spark, steps.flags), tables.read(spark, once.flags))
+    assert {r["remote_flag"] for r in tables.read(spark, steps.flags).collect()} == {"OK", "KO", "NA"}
+
+    flagged = {m: f for m, f in tables._current(spark, steps.flags)[1]["months"].items()}
+    assert plan.load(raw(0, 152), steps)  # a weekend more, which hardly moves the threshold
+    after = tables._current(spark, steps.flags)[1]["months"]
+    assert [m for m in flagged if after[m] != flagged[m]] in (["202405"], [])
+    same_rows(tables.read(spark, steps.flags), remote.band_flags(tables.read(spark, steps.agg("band"))))
+
+
+def test_months_are_flagged_again_when_the_threshold_crosses_a_load(spark):
+    days = [("2024-01-02", 2, 2, 50), ("2024-02-01", 2, 4, 60), ("2024-03-01", 2, 5, 60), ("2024-03-02", 2, 6, 1)]
+    bands = spark.createDataFrame(days, "d string, band int, dow int, o int").select(
+        F.to_date("d").alias("day"), "band", "dow", F.col("o").cast("decimal(18,2)").alias("office"))
+
+    def at_level(x):
+        return spark.createDataFrame([(x,)], "threshold double")
+
+    states = remote.month_states(bands, at_level(55.0))
+    for level, months in ((54.0, []), (50.0, ["2024-01-01"]), (60.0, ["2024-02-01", "2024-03-01"]), (45.0, ["2024-01-01"]),
+                          (None, ["2024-01-01", "2024-02-01", "2024-03-01"])):
+        found = remote.months_to_flag(states, at_level(level)).collect()
+        assert sorted(str(r["day"]) for r in found) == months, level
+    unjudged = remote.month_states(bands, at_level(None))
+    assert remote.months_to_flag(unjudged, at_level(None)).isEmpty()
+    assert remote.months_to_flag(unjudged, at_level(1.0)).count() == 3

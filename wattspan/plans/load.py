@@ -18,7 +18,6 @@ from wattspan.plans.store import Store
 from wattspan.session import discard, shared_dir
 from wattspan.sources import load_log, tables
 
-EVERY_MONTH = (0, 999912)
 # What becomes of a bucket that was open at an earlier load.
 KEEP, RECOMPUTE = "keep", "recompute"
 
@@ -83,16 +82,36 @@ def _refresh(
     tables.rewrite(spark, store.agg(grain), span, change, _time(grain), keys)
 
 
-def _classify(spark: SparkSession, store: Store, keys: Sequence[str], **params) -> None:
-    """Flag every (day, band) in a narrow table of flags.
+def _classify(
+    spark: SparkSession, store: Store, span: tuple[int, int], keys: Sequence[str], **params
+) -> None:
+    """Flag the (day, band) rows whose flags the load can have changed, in a narrow table.
 
-    The threshold depends on all days, so all flags are set anew; the consumption tables with
-    their weather are not written for it (``classified`` joins the flags).
+    The threshold depends on all days, by sums that are kept per month. Days of the
+    months that were loaded are flagged, and those of a month between whose loads the
+    threshold has moved across one; other months of the consumption table are not read.
     """
     if not tables.exists(spark, store.agg("band")):
         return
-    flags = remote.band_flags(tables.read(spark, store.agg("band")), keys, **params)
-    tables.rewrite(spark, store.flags, EVERY_MONTH, lambda _: flags, "day", keys)
+    touched = tables.months(spark, store.agg("band"), *span)
+    sums = remote.load_sums(touched, [*keys])
+    also: list[int] = []
+    if tables.exists(spark, store.threshold_state):
+        month = tables.month_number("day")
+        others = tables.read(spark, store.threshold_state).where(~month.between(*span))
+        threshold = remote.threshold_of(
+            others.select(*keys, *remote.SUMS).unionByName(sums), keys=keys, **params
+        )
+        # As many numbers as the calendar has months.
+        moved = remote.months_to_flag(others, threshold, keys)
+        also = [r[0] for r in moved.select(month).collect()]
+    else:
+        threshold = remote.threshold_of(sums, keys=keys, **params)
+    bands = tables.months(spark, store.agg("band"), *span, also)
+    flags = remote.flags_by(bands, threshold, keys)
+    tables.rewrite(spark, store.flags, span, lambda _: flags, "day", keys, also)
+    states = remote.month_states(bands, threshold, keys)
+    tables.rewrite(spark, store.threshold_state, span, lambda _: states, "day", keys, also)
 
 
 def classified(
@@ -175,5 +194,5 @@ def _load_staged(
             _merge_states(spark, store, batch, span, keys)
             for grain in GRAINS:
                 _refresh(spark, store, grain, span, weather, keys, open_buckets)
-            _classify(spark, store, keys, **remote_params)
+            _classify(spark, store, span, keys, **remote_params)
     load_log.append_log(load_log.log_entry(wide, downloaded_at, keys), store.load_log)

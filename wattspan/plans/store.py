@@ -36,6 +36,10 @@ class Store:
     def flags(self) -> str:
         return self.path("flags")
 
+    @property
+    def threshold_state(self) -> str:
+        return self.path("threshold_state")
+
     @property
     def load_log(self) -> str:
         return self.path("load_log")

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -90,14 +90,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return any(not name.startswith(("_", ".")) for name in _names(spark, path))
 
 
-def months(spark: SparkSession, path: str, lo: int = 0, hi: int = 999999) -> DataFrame:
-    """The stored rows of the months from ``lo`` to ``hi``; folders of others are not read."""
+def months(
+    spark: SparkSession, path: str, lo: int = 0, hi: int = 999999, also: Collection[int] = ()
+) -> DataFrame:
+    """The stored rows of the months from ``lo`` to ``hi`` and some more; folders of others are
+    not read."""
     _, state = _current(spark, path)
     schema = T.StructType.fromJson(state["schema"])
     found = [
         f"{path}/{folder}/{PERIOD}={month}"
         for month, folders in sorted(state["months"].items())
-        if lo <= int(month) <= hi
+        if lo <= int(month) <= hi or int(month) in also
         for folder in folders
     ]
     return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
@@ -143,6 +146,7 @@ def _write(
     keys: Sequence[str],
     replaced: tuple[int, int] | None,
     gather: bool = True,
+    also: Collection[int] = (),
 ) -> None:
     """Write rows to a new folder and point to it; ``replaced`` months are given up for it."""
     spark = df.sparkSession
@@ -163,7 +167,11 @@ def _write(
     prefix = f"{PERIOD}="
     fresh = [x.removeprefix(prefix) for x in _names(spark, f"{path}/{name}") if x.startswith(prefix)]
     lo, hi = replaced or (1, 0)
-    held = {m: f for m, f in (state["months"] if state else {}).items() if not lo <= int(m) <= hi}
+    held = {
+        m: f
+        for m, f in (state["months"] if state else {}).items()
+        if not (lo <= int(m) <= hi or int(m) in also)
+    }
     for month in fresh:
         held[month] = [*held.get(month, []), name]
     _publish(spark, path, number + 1, {"schema": schema.jsonValue(), "months": held})
@@ -205,15 +213,16 @@ def rewrite(
     change: Callable[[DataFrame | None], DataFrame],
     time: str = "ts",
     keys: Sequence[str] = (),
+    also: Collection[int] = (),
 ) -> None:
-    """Replace the months of ``span`` by ``change`` of their stored rows.
+    """Replace the months of ``span``, and those in ``also``, by ``change`` of their stored rows.
 
     ``change`` gets None while the table does not exist, and must keep rows
     within the span. A month whose rows all go is gone from the table; columns
     that ``change`` does not return stay in the table, empty for its rows.
     """
-    stored = months(spark, path, *span) if exists(spark, path) else None
-    _write(change(stored), path, time, keys, span)
+    stored = months(spark, path, *span, also) if exists(spark, path) else None
+    _write(change(stored), path, time, keys, span, also=also)
 
 
 def append(df: DataFrame, path: str) -> None:
