@@ -13,29 +13,18 @@ words that link always meet. An anchor has at most 2,081 words within two bits
 Equal texts and equal fingerprints are brought together before that. Words of
 an anchor arrive sorted in one stream; an anchor's links are thinned to a
 spanning forest of them, which keeps every component.
-
-Copies by a share of shingles (0.8 and more) differ in more bits than anchors
-can cover. For them the shingles of every text are put in one order, common ones
-last, and a text's first fifth is its prefix: two sets of Jaccard similarity 0.8
-always have a shingle of their prefixes in common, so no pair is missed. Every
-pair that meets there, or by its fingerprint, is judged by the exact similarity
-of the two sets. Groups are first joined by stars; of what is not joined by
-then, all pairs that meet are judged.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from wattspan.llm.components import components
-from wattspan.llm.decontaminate import filter_of, filter_places
 from wattspan.llm.staging import id_or_last, partitions, staged, table, text_of
 
 SEED = 42
@@ -77,21 +66,20 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(bits).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id and fingerprint (a long with the same bits); a text without words gets 0."""
+def fingerprints(docs: DataFrame, words: int, *others: str | Column) -> DataFrame:
+    """The named columns and fp, the fingerprint as a long; a text without words gets 0."""
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
-            prints = [fingerprint(shingle_hashes(x, words)) for x in batch.column(1).to_pylist()]
-            values = np.array(prints, dtype=np.uint64).view(np.int64)
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            values = np.array([fingerprint(shingle_hashes(x, words)) for x in texts], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(values)], names=["doc_id", "fp"]
+                [*batch.columns[:-1], pa.array(values.view(np.int64))],
+                names=[*batch.schema.names[:-1], "fp"],
             )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(
-        batches, f"doc_id {kind}, fp bigint"
-    )
+    schema = T.StructType([*docs.select(*others).schema.fields, T.StructField("fp", T.LongType())])
+    return docs.select(*others, text_of().alias("text")).mapInArrow(batches, schema)
 
 
 def flips(m: int) -> list[np.ndarray]:
@@ -130,17 +118,14 @@ def anchors(values: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def spanning(values: np.ndarray, threshold: int) -> list[tuple[int, int]]:
-    """Pairs of places that join all values linked directly or through others.
-
-    A value is a row of one or more fingerprints; their differing bits are summed.
-    """
+    """Pairs of places that join all values linked directly or through others."""
     left, pairs = np.arange(1, len(values)), []
     queue = [0]
     while len(left) or queue:
         if not queue:
             queue, left = [int(left[0])], left[1:]
         at = queue.pop()
-        apart = np.bitwise_count(values[left] ^ values[at]).sum(axis=1, dtype=np.int64)
+        apart = np.bitwise_count(values[left] ^ values[at])
         reached = left[apart <= threshold].tolist()
         left = left[apart > threshold]
         pairs += [(at, x) for x in reached]
@@ -168,32 +153,30 @@ def runs(
         yield tuple(kept)
 
 
-def forests(
-    batches: Iterator[pa.RecordBatch], lanes: int, threshold: int
-) -> Iterator[pa.RecordBatch]:
-    """Links (a, b) from batches sorted by anchor, with ``lanes`` fingerprints behind it."""
-    for anchor, *prints in runs(batches, lanes + 1):
-        values = np.stack(prints, axis=1).view(np.uint64)
+def forests(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) from batches (anchor, fp) sorted by anchor."""
+    for anchor, prints in runs(batches, 2):
+        values = prints.view(np.uint64)
         starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
         ends = np.r_[starts[1:], len(anchor)]
         many = ends - starts > 1
         a, b = [], []
         for lo, hi in zip(starts[many], ends[many]):
             for x, y in spanning(values[lo:hi], threshold):
-                a.append(prints[0][lo + x])
-                b.append(prints[0][lo + y])
+                a.append(prints[lo + x])
+                b.append(prints[lo + y])
         if a:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
             )
 
 
-def compared(replicas: DataFrame, lanes: int, threshold: int) -> DataFrame:
-    """Links between the replicas (anchor, then fingerprints) that meet at an anchor."""
+def compared(replicas: DataFrame, threshold: int) -> DataFrame:
+    """Links between the replicas (anchor, fp) that meet at an anchor."""
     return (
         replicas.repartition(partitions(replicas.sparkSession), "anchor")
         .sortWithinPartitions("anchor")
-        .mapInArrow(lambda found: forests(found, lanes, threshold), "a bigint, b bigint")
+        .mapInArrow(lambda found: forests(found, threshold), "a bigint, b bigint")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     )
 
@@ -214,8 +197,9 @@ def near_links(prints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
                     names=["anchor", "fp"],
                 )
 
-    replicas = prints.select("fp").mapInArrow(replicate, "anchor bigint, fp bigint")
-    return compared(replicas, 1, threshold)
+    # Even parts of the fingerprints, in a number of their own: each becomes 33 rows.
+    even = prints.select("fp").repartition(partitions(prints.sparkSession), "fp")
+    return compared(even.mapInArrow(replicate, "anchor bigint, fp bigint"), threshold)
 
 
 def classes(docs: DataFrame, words: int, threshold: int = THRESHOLD) -> DataFrame:
@@ -225,10 +209,9 @@ def classes(docs: DataFrame, words: int, threshold: int = THRESHOLD) -> DataFram
     other); a row without id gets the smallest id of its component, null if none
     has one. Repeated rows stay. Further columns play no part.
     """
-    prints = staged(fingerprints(docs, words), "prints")
+    prints = staged(fingerprints(docs, words, "doc_id"), "prints")
     firsts = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "print-firsts")
-    # Even parts of distinct fingerprints: each becomes 33 rows.
-    linked = components(near_links(firsts.repartition("fp")), "print-components")
+    linked = components(near_links(firsts, threshold), "print-components")
     members = firsts.join(linked.withColumnRenamed("node", "fp"), "fp")
     smallest = members.groupBy("root").agg(F.min("first_id").alias("least_id"))
     moved = members.join(smallest, "root").select("fp", "least_id")
@@ -239,266 +222,23 @@ def classes(docs: DataFrame, words: int, threshold: int = THRESHOLD) -> DataFram
     return prints.join(staged(by_print, "print-classes"), "fp")
 
 
-#: A document in so many tells which shingles are common: those that so many of them hold.
-ORDERED_BY, COMMON = 16, 4
-#: Bits that tell most pairs that are not similar without their texts.
-BITMAP = 2048
-
-
-def shared_at_least(size: int, similarity: float) -> int:
-    """Shingles that a set of that size shares with any that similar to it."""
-    return int(np.ceil(size * similarity - 1e-9))
-
-
-def shingle_set(text: str, words: int) -> np.ndarray:
-    """The distinct shingle hashes of a text in the order of their numbers."""
-    return np.unique(shingle_hashes(text, words))
-
-
-def set_key(shingles: np.ndarray) -> int:
-    """A number for a set of shingles; equal sets have equal ones."""
-    return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), SEED)).view(np.int64))
-
-
-def common_shingles(docs: DataFrame, words: int) -> np.ndarray:
-    """A filter of fixed size over shingles that many documents hold.
-
-    It only says which shingles come last in the order that prefixes are taken in; links are the
-    same for every such order.
-    """
-
-    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
-            for text in batch.column(0).to_pylist():
-                h = shingle_set(text, words).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(h)], names=["h"])
-
-    some = docs.select(text_of().alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(ORDERED_BY)) == 0)
-    # Equal texts are one set, however many there are.
-    held = some.distinct().mapInArrow(batches, "h bigint").groupBy("h").count()
-    return filter_of(held.where(F.col("count") >= COMMON))
-
-
-def prefixed(docs: DataFrame, words: int, similarity: float, first: Column) -> DataFrame:
-    """``first``, the key and size of each shingle set, its fingerprint, and its prefix: so many
-    of its first shingles that any set as similar has one of them in its own prefix."""
-    shipped = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, words))
-
-    @F.pandas_udf("key bigint, size bigint, fp bigint, prefix array<bigint>")
-    def found(texts: pd.Series) -> pd.DataFrame:
-        def of(text: str) -> tuple:
-            hashes = shingle_hashes(text, words)
-            shingles = np.unique(hashes)
-            size = len(shingles)
-            bits, (one, two) = shipped.value, filter_places(shingles)
-            common = bits[one >> np.uint64(6)] >> (one & np.uint64(63))
-            common &= bits[two >> np.uint64(6)] >> (two & np.uint64(63)) & np.uint64(1)
-            order = np.argsort(common, kind="stable")
-            first = shingles[order[: size - shared_at_least(size, similarity) + 1]] if size else shingles
-            print_ = np.uint64(fingerprint(hashes)).view(np.int64)
-            return set_key(shingles), size, int(print_), first.view(np.int64)
-
-        return pd.DataFrame([of(x) for x in texts], columns=["key", "size", "fp", "prefix"])
-
-    return docs.select(first, found(text_of()).alias("found")).select("first", "found.*")
-
-
-def meeting(firsts: DataFrame) -> DataFrame:
-    """token, key and size of the sets that have a shingle of their prefixes in common with others,
-    and the smallest key there and its size."""
-
-    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, key, size in runs(found, 3):
-            starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-            counts = np.diff(np.r_[starts, len(token)])
-            least, least_size = (np.repeat(x[starts], counts) for x in (key, size))
-            many = np.repeat(counts > 1, counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x[many]) for x in (token, key, size, least, least_size)],
-                names=["token", "key", "size", "least", "least_size"],
-            )
-
-    return (
-        firsts.select(F.explode("prefix").alias("token"), "key", "size")
-        .repartition(partitions(firsts.sparkSession), "token")
-        .sortWithinPartitions("token", "key")
-        .mapInArrow(batches, "token bigint, key bigint, size bigint, least bigint, least_size bigint")
-    )
-
-
-def may_reach(pairs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b), repeated for each token they meet at, that so many tokens and their sizes
-    (m, n) allow to be similar enough.
-
-    Below the end of the shorter prefix all common shingles are tokens of both; behind it a set
-    has no more than the rest of it.
-    """
-
-    def rest(size: str) -> Column:
-        return F.ceil(F.col(size) * similarity - 1e-9) - 1
-
-    tokens = pairs.groupBy("a", "b", "m", "n").agg(F.count(F.lit(1)).alias("tokens"))
-    shared = F.col("tokens") + F.greatest(rest("m"), rest("n"))
-    enough = similarity / (1 + similarity) * (F.col("m") + F.col("n")) - 1e-6
-    return tokens.where(shared >= enough).select("a", "b")
-
-
-def apart(met: DataFrame, similarity: float) -> DataFrame:
-    """All pairs (a, b) of sets that meet at tokens, are not linked yet (other ``root``), and may
-    be similar enough."""
-    names = ["a", "b", "m", "n"]
-
-    def batch_of(pairs: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*pairs)], names)
-
-    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, key, size, root in runs(found, 4):
-            starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-            pairs, count = [], 0
-            for lo, hi in zip(starts, np.r_[starts[1:], len(token)]):
-                if (root[lo:hi] == root[lo]).all():
-                    continue
-                for at in range(lo, hi - 1):
-                    small = np.minimum(size[at], size[at + 1 : hi])
-                    large = np.maximum(size[at], size[at + 1 : hi])
-                    fits = (root[at + 1 : hi] != root[at]) & (small >= similarity * large - 1e-6)
-                    b = key[at + 1 : hi][fits]
-                    m, n = np.full(len(b), size[at]), size[at + 1 : hi][fits]
-                    pairs.append((np.full(len(b), key[at]), b, m, n))
-                    count += len(b)
-                    if count > 1 << 16:
-                        yield batch_of(pairs)
-                        pairs, count = [], 0
-            if count:
-                yield batch_of(pairs)
-
-    found = (
-        met.select("token", "key", "size", "root")
-        .repartition(partitions(met.sparkSession), "token")
-        .sortWithinPartitions("token", "key")
-        .mapInArrow(batches, "a bigint, b bigint, m bigint, n bigint")
-    )
-    return may_reach(found, similarity)
-
-
-def similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets reach the Jaccard similarity; ``texts`` are packed,
-    by key."""
-
-    def unpacked(text: pa.Scalar) -> np.ndarray:
-        return shingle_set(zlib.decompress(text.as_py()).decode("utf-8", "surrogatepass"), words)
-
-    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, one = None, None
-        for batch in found:
-            a, b, x, y = (batch.column(i) for i in range(4))
-            good = np.zeros(len(batch), bool)
-            for i in range(len(batch)):
-                if a[i].as_py() != last:
-                    last, one = a[i].as_py(), unpacked(x[i])
-                two = unpacked(y[i])
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                good[i] = both >= similarity * (len(one) + len(two) - both) - 1e-9
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c.to_numpy(zero_copy_only=False)[good]) for c in (a, b)], names=["a", "b"]
-            )
-
-    # Both sides are plain tables: Spark can split a set that very many pairs hold.
-    by_b = texts.select(F.col("key").alias("b"), F.col("text").alias("y"))
-    by_a = texts.select(F.col("key").alias("a"), F.col("text").alias("x"))
-    told = plausible(pairs, texts, similarity).join(by_b, "b").join(by_a, "a")
-    return told.select("a", "b", "x", "y").mapInArrow(batches, "a bigint, b bigint")
-
-
-def packed_texts(texts: Column, words: int) -> Column:
-    """Texts, packed, with the size of their shingle sets and ``BITMAP`` bits that the shingles set."""
-
-    @F.pandas_udf("size bigint, bits binary, text binary")
-    def found(texts: pd.Series) -> pd.DataFrame:
-        def of(text: str) -> tuple:
-            shingles = shingle_set(text, words)
-            bits = np.zeros(BITMAP, bool)
-            bits[shingles % np.uint64(BITMAP)] = True
-            packed = zlib.compress(text.encode("utf-8", "surrogatepass"), 1)
-            return len(shingles), np.packbits(bits).tobytes(), packed
-
-        return pd.DataFrame([of(x) for x in texts], columns=["size", "bits", "text"])
-
-    return found(texts)
-
-
-def plausible(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose bits allow it: a bit that one of two sets has alone is a shingle at
-    least that one has alone."""
-
-    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
-            if not batch.num_rows:
-                continue
-            a, b, m, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-            one, two = (
-                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, BITMAP // 8)
-                for i in (4, 5)
-            )
-            alone = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
-            good = alone <= (1 - similarity) / (1 + similarity) * (m + n) + 1e-6
-            yield pa.RecordBatch.from_arrays([pa.array(x[good]) for x in (a, b)], names=["a", "b"])
-
-    by_b = texts.select(F.col("key").alias("b"), F.col("size").alias("n"), F.col("bits").alias("y"))
-    by_a = texts.select(F.col("key").alias("a"), F.col("size").alias("m"), F.col("bits").alias("x"))
-    told = pairs.join(by_b, "b").join(by_a, "a").select("a", "b", "m", "n", "x", "y")
-    return staged(told.mapInArrow(batches, "a bigint, b bigint"), "plausible")
-
-
-def print_pairs(firsts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets of equal or near fingerprints, a forest of them."""
-    of_print = staged(firsts.groupBy("fp").agg(F.min("key").alias("least")), "print-sets")
-    equal = firsts.select("fp", "key").join(of_print, "fp").select(F.col("least").alias("a"), F.col("key").alias("b"))
-    near = near_links(of_print.repartition("fp"))
-    a = of_print.select(F.col("fp").alias("a"), F.col("least").alias("x"))
-    b = of_print.select(F.col("fp").alias("b"), F.col("least").alias("y"))
-    return equal.union(near.join(a, "a").join(b, "b").select("x", "y"))
-
-
-def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """One document of each group of near copies, the one of the smallest id, as it came.
+def one_of_each(docs: DataFrame, words: int = 3, threshold: int = THRESHOLD) -> DataFrame:
+    """One document of each component of near fingerprints, the one of the smallest id, as it came.
 
     Nulls: a null text is an empty one, and all texts without words are one
     group; a null id comes behind all others. Of rows that repeat an id and a
     text one stays. Further columns pass through.
     """
-    row = F.xxhash64(id_or_last(), text_of()).alias("row")
-    first = F.struct(id_or_last().alias("id"), row).alias("first")
-    found = staged(prefixed(docs, words, similarity, first), "prints")
-    firsts = staged(
-        found.groupBy("key").agg(
-            *[F.min(c).alias(c) for c in ("first", "size", "fp", "prefix")]
-        ),
-        "firsts",
-    )
-    met = staged(meeting(firsts), "met")
-    stars = met.where("least <> key").selectExpr("least AS a", "key AS b", "least_size AS m", "size AS n")
-    stars = may_reach(stars, similarity).union(print_pairs(firsts))
-    stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    stars = staged(stars.where("a <> b").distinct(), "stars")
-    needed = met.select("key").union(stars.select("a")).union(stars.select("b")).distinct()
-    rows = firsts.join(needed, "key").select("key", "first.row")
-    # Rows that repeat an id and a text are one text.
-    own = docs.select(row, text_of().alias("text")).join(rows, "row")
-    own = own.groupBy("row", "key").agg(F.first("text").alias("text"))
-    texts = staged(own.select("key", packed_texts(F.col("text"), words).alias("p")).select("key", "p.*"), "texts")
-    # Large groups of copies are joined by few links; the other pairs that may reach it are judged.
-    linked = staged(similar(stars, texts, words, similarity), "linked")
-    roots = components(linked, "copies").select(F.col("node").alias("key"), "root")
-    met = met.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    pairs = staged(apart(met, similarity).join(stars, ["a", "b"], "left_anti"), "pairs")
-    links = linked.union(similar(pairs, texts, words, similarity))
-    roots = components(links, "copies").select(F.col("node").alias("key"), "root")
-    of_class = firsts.select("key", "first").join(roots, "key", "left").groupBy(F.coalesce("root", "key"))
-    kept = of_class.agg(F.min("first").alias("first")).select("first.row")
-    keyed = docs.select(row, F.struct("*").alias("whole")).hint("merge").join(kept, "row")
-    again = F.row_number().over(Window.partitionBy("row").orderBy("row"))
-    return keyed.withColumn("again", again).where("again = 1").select("whole.*")
+    # An id and 128 bits of its text.
+    row = F.struct(id_or_last().alias("id"), F.md5(text_of().cast("binary")).alias("md5")).alias("row")
+    prints = fingerprints(docs, words, row)
+    firsts = staged(prints.groupBy("fp").agg(F.min("row").alias("row")), "print-firsts")
+    linked = components(near_links(firsts, threshold), "print-components")
+    of_class = firsts.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
+    kept = of_class.groupBy(F.coalesce("root", "fp").alias("class")).agg(F.min("row").alias("row"))
+    # Rows that repeat become one in each task before texts move.
+    once = docs.select(row, F.struct("*").alias("whole")).groupBy("row").agg(F.first("whole").alias("whole"))
+    return once.join(kept.select("row"), "row").select("whole.*")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
