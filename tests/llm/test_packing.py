@@ -78,3 +78,18 @@ def test_many_groups(spark):
     rows = packing.pack(found, (64, 128, 256), group=2500).collect()
     assert len(rows) == 20_000 and len({r["bin_id"] >> 32 for r in rows}) == 8
     laws(rows, (64, 128, 256))
+
+
+def test_a_text_that_a_third_of_the_rows_repeat_fills_no_group(spark, monkeypatch):
+    docs = spark.range(9000).selectExpr(
+        "IF(id % 3 = 0, 7, id) AS doc_id", "IF(id % 3 = 0, 'again', repeat('x', cast(id % 97 AS int))) AS text")
+    text = packing.text_of()
+    length = packing.F.octet_length(text).cast("long") + 1
+    monkeypatch.setattr(packing, "COPIES", 16)
+    found = packing.pieces(docs, length, 256, packing.F.xxhash64("doc_id", text).alias("dealt"))
+    rows = packing.pack(found, (64, 128, 256), group=500).collect()
+    laws(rows, (64, 128, 256))
+    groups = defaultdict(int)
+    for r in rows:
+        groups[r["bin_id"] >> 32] += 1
+    assert sum(groups.values()) == 9000 and len(groups) == 18 and max(groups.values()) < 800

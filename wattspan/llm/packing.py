@@ -9,11 +9,13 @@ permitted capacity that holds its contents.
 A document longer than the largest capacity is cut into pieces of that capacity.
 Pieces are dealt by hash into groups of about ``GROUP`` pieces, their number
 following the table's, and each group is packed on its own; no text moves, only
-lengths. A group's last bins are all that the split costs.
+lengths. A group's last bins are all that the split costs. Rows that repeat are
+counted, and ``COPIES`` of them at a time are dealt out, so a text that a third of
+the table repeats fills no group.
 
 Nulls: a null text is an empty one, which still takes its end mark; a null id is
-an id like any other. Repeated rows are packed each. An empty table gives an
-empty result. Further columns play no part.
+an id like any other. Repeated rows are packed each; of pieces of one length the
+hash, then the id, decide which comes first. An empty table gives an empty result. Further columns play no part.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from wattspan.llm.staging import chunks_for, staged, table, text_of
 CAPACITIES = (1024, 2048, 4096, 8192, 16384)
 #: Pieces that are packed together, on average.
 GROUP = 4096
+#: Equal pieces that are dealt out together.
+COPIES = 64
 #: What a sequence costs besides its length, and the length at which attention costs as much
 #: as all else.
 OVERHEAD, ATTENTION = 64, 65536
@@ -101,11 +105,13 @@ def pack(found: DataFrame, capacities: Sequence[int] = CAPACITIES, group: int =
 
     ``found`` has doc_id, piece, start, length and dealt, a hash that deals pieces out.
     """
-    found = staged(found, "pieces")
-    groups = chunks_for(found.count(), group)
+    names = ["doc_id", "piece", "start", "length", "dealt"]
+    found = staged(found.groupBy(*names).agg(F.count(F.lit(1)).alias("n")), "pieces")
+    groups = chunks_for(found.agg(F.sum("n")).first()[0] or 0, group)
     kind = found.schema["doc_id"].dataType.simpleString()
 
     def packed(part: pa.Table) -> pa.Table:
+        part = part.take(np.repeat(np.arange(len(part)), part["copies"].to_numpy()))
         part = part.sort_by([(c, "ascending") for c in ("length", "dealt", "doc_id", "piece")])
         bins, offsets, capacity = best_fit(part["length"].to_numpy(), capacities)
         out = part.select(["doc_id", "piece", "start", "length"])
@@ -118,7 +124,12 @@ def pack(found: DataFrame, capacities: Sequence[int] = CAPACITIES, group: int =
         "capacity bigint"
     )
     # The group is added before the rows move, so that one key of even groups deals them out.
-    dealt = found.withColumn("group", F.pmod(F.xxhash64("dealt", "piece"), F.lit(groups)))
+    handful = F.explode(F.sequence(F.lit(0).cast("long"), (F.col("n") - 1).cast("long"), F.lit(COPIES).cast("long")))
+    dealt = (
+        found.withColumn("from", handful)
+        .withColumn("copies", F.least(F.col("n") - F.col("from"), F.lit(COPIES)))
+        .withColumn("group", F.pmod(F.xxhash64("dealt", "piece", "from"), F.lit(groups)))
+    )
     return dealt.groupBy("group").applyInArrow(packed, schema)
 
 
