@@ -2,15 +2,18 @@
 
 Proportional stratified interleaving: the rows of a source are shuffled by a
 seeded hash and ranked; a row's fractional rank is its place in its source as a
-share of that source. Sorting all rows by fractional rank interleaves the
-sources in proportion, and cutting that order into equal runs gives every shard
-the same mixture.
+share of that source, less a seeded part of a row, the same for all its rows.
+Sorting all rows by fractional rank interleaves the sources in proportion, and
+cutting that order into equal runs gives every shard the same mixture; sources of
+one row fall anywhere instead of together.
 
 Ranks are taken in two steps, so that no source and no order passes through one
 task: rows fall into buckets of the hash (or of the fractional rank), buckets
 are counted with partial aggregation, running totals of the counts give each
-bucket its offset, and only the rows of one bucket are numbered together. The
-number of buckets follows the number of rows.
+bucket its offset, first over runs of buckets, then within each, and only the rows
+of one bucket are numbered together. The number of buckets follows the number of
+rows. Equal rows are one counted row while ranks are taken; its copies are dealt
+out in runs afterwards.
 
 Nulls: a null source is a stratum of its own, a null id sorts last, a null text
 has size 1 and the checksum of the empty text. Equal rows are interchangeable
@@ -22,10 +25,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from wattspan.llm.staging import chunks_for, id_or_last, staged, table, text_of
+from wattspan.llm.staging import chunks_for, id_or_last, partitions, staged, table, text_of
 
 #: Rows that are numbered together, on average.
 BUCKET_ROWS = 256
+#: Buckets whose running totals are taken together, and copies of a row that one task makes.
+RUN = 65_536
 
 
 def described(docs: DataFrame, seed: int) -> DataFrame:
@@ -43,27 +48,47 @@ def described(docs: DataFrame, seed: int) -> DataFrame:
 def numbered(
     rows: DataFrame, keys: list[str], bucket: Column, order: list[str], number: str, of: str
 ) -> DataFrame:
-    """Rows with their number, from 0, in the order of (bucket, order) within keys, and the
-    rows their keys have.
+    """Rows, each standing for ``copies``, with the number of their first one, from 0, in the
+    order of (bucket, order) within keys, and the copies their keys have.
 
     ``bucket`` must not fall as ``order`` rises, and must hold few enough rows for one task.
     """
     rows = rows.withColumn("_bucket", bucket)
-    counts = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    counts = rows.groupBy(*keys, "_bucket").agg(F.sum("copies").alias("_n"))
+    counts = counts.withColumn("_run", F.floor(F.col("_bucket") / RUN))
+    totals = counts.groupBy(*keys, "_run").agg(F.sum("_n").alias("_n"))
     all_of = Window.partitionBy(*keys)
-    before = all_of.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *keys,
-        "_bucket",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-        F.sum("_n").over(all_of).alias(of),
+
+    def before(of: Window, by: str) -> Column:
+        sum_of = F.sum("_n").over(of.orderBy(by).rowsBetween(Window.unboundedPreceding, -1))
+        return F.coalesce(sum_of, F.lit(0))
+
+    runs = totals.select(
+        *keys, "_run", before(all_of, "_run").alias("_first"), F.sum("_n").over(all_of).alias(of)
     )
+    within_run = before(Window.partitionBy(*keys, "_run"), "_bucket")
+    offsets = counts.withColumn("_before", within_run).drop("_n").join(runs, [*keys, "_run"]).drop("_run")
     within = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    upto = F.sum("copies").over(within.rowsBetween(Window.unboundedPreceding, 0))
     return (
-        rows.withColumn("_row", F.row_number().over(within))
+        rows.withColumn("_upto", upto)
         .join(offsets, [*keys, "_bucket"])
-        .withColumn(number, F.col("_before") + F.col("_row") - 1)
-        .drop("_bucket", "_before", "_row")
+        .withColumn(number, F.col("_first") + F.col("_before") + F.col("_upto") - F.col("copies"))
+        .drop("_bucket", "_before", "_first", "_upto")
+    )
+
+
+def each_copy(rows: DataFrame, number: str) -> DataFrame:
+    """One row for each of a row's copies, numbered on; few tasks make none of many copies."""
+    start, last, copies = F.lit(0).cast("long"), F.col("copies") - 1, F.col("copies")
+    runs = rows.withColumn("_from", F.explode(F.sequence(start, last, F.lit(RUN).cast("long"))))
+    runs = runs.repartition(partitions(rows.sparkSession), "dealt", "doc_id", "_from")
+    last = F.least(copies - F.col("_from"), F.lit(RUN).cast("long")) - 1
+    return (
+        runs.withColumn("_copy", F.explode(F.sequence(start, last)))
+        .withColumn(number, F.col(number) + F.col("_from") + F.col("_copy"))
+        .withColumn("copies", F.lit(1).cast("long"))
+        .drop("_from", "_copy")
     )
 
 
@@ -77,8 +102,9 @@ def interleave(docs: DataFrame, shards: int = 16, seed: int = 7) -> DataFrame:
     Shard i holds the places from ceil(i*n/shards) up to ceil((i+1)*n/shards) of
     the interleaved order, so counts differ by one at most.
     """
-    rows = staged(described(docs, seed), "dealt")
-    buckets = chunks_for(rows.count(), BUCKET_ROWS)
+    rows = described(docs, seed)
+    rows = staged(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies")), "dealt")
+    buckets = chunks_for(rows.agg(F.sum("copies")).first()[0] or 0, BUCKET_ROWS)
     ranked = numbered(
         rows,
         ["stratum"],
@@ -87,11 +113,12 @@ def interleave(docs: DataFrame, shards: int = 16, seed: int = 7) -> DataFrame:
         "rank",
         "stratum_rows",
     )
-    # The middle of the row's share of its source.
-    shared = ranked.withColumn(
-        "share", (2 * F.col("rank") + 1) / (2 * F.col("stratum_rows"))
+    # A point of the row's share of its source: the same of every row, another in every source.
+    point = F.xxhash64(F.lit(seed), "stratum").cast("double") / 2.0**64 + 0.5
+    shared = each_copy(ranked, "rank").withColumn(
+        "share", (F.col("rank") + point) / F.col("stratum_rows")
     ).withColumn("_all", F.lit(0))
-    order = ["share", "dealt", "stratum"]
+    order = ["share", "dealt", "stratum", "rank"]
     placed = numbered(shared, ["_all"], share_bucket(F.col("share"), buckets), order, "place", "n")
     return (
         placed.withColumn("shard", F.expr(f"place * {shards} div n").cast("int"))
