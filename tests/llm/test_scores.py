@@ -86,6 +86,15 @@ def test_labels_of_the_held_out_fold_teach_nothing(spark):
     assert a.prior == b.prior and (a.leaf == b.leaf).all()
 
 
+def test_an_id_that_many_rows_repeat_is_learned_from_once(spark):
+    docs = spark.range(900).selectExpr("IF(id % 3 = 0, 7, id) AS doc_id", "concat('text ', id) AS text")
+    labels = spark.range(900).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS quality")
+    few = quality.sample(labels, "quality", 4, 2)
+    rows = quality.sampled(docs, few)
+    assert rows.where("doc_id = 7").count() == few.where("doc_id = 7").count() <= 1
+    assert rows.count() == rows.select("doc_id").distinct().count()
+
+
 def test_odd_rows(spark, nasty, nothing, letters):
     labels = spark.createDataFrame([(1, 1, 0), (3, 0, 1), (4, 1, 1), (5, None, None), (None, 1, 1), (8, 0, 0), (8, 1, 0)],
                                    "doc_id bigint, quality int, toxic int")
@@ -94,6 +103,7 @@ def test_odd_rows(spark, nasty, nothing, letters):
     assert len(scores) == nasty.count() and all(0 <= x <= 1 for x in scores)
     kept = quality.keep_good(nasty, labels)
     assert kept.dtypes == nasty.dtypes
+    assert quality.keep_good(nothing, labels).count() == 0 and quality.keep_good(nasty, labels.where("false")).dtypes == nasty.dtypes
     lexicon, trees = toxicity.fit(nasty, labels, letters)
     scores = [r["score"] for r in toxicity.scored(nasty, letters, lexicon, trees, "doc_id").collect()]
     assert len(scores) == nasty.count() and all(0 <= x <= 1 for x in scores)

@@ -109,13 +109,18 @@ def sample(labels: DataFrame, label: str, folds: int, fold: int, bound: int = SA
     return usable.where(place < share)
 
 
+def sampled(docs: DataFrame, few: DataFrame) -> DataFrame:
+    """doc_id, label and a text of the sampled ids: one row for an id and label, however many
+    rows repeat the id (the first of its texts in their order, if there are several)."""
+    # The sample is bounded, so it may be broadcast; an id's rows become one in every task.
+    found = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")
+    return found.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> boost.Trees:
     """Trees fitted on a bounded sample of the labelled documents outside the held-out fold."""
     few = sample(labels, "quality", FOLDS, FOLD, bound)
-    # The sample is bounded, so it may be broadcast; texts are not shuffled.
-    rows = statistics_of(
-        docs.select("doc_id", "text").join(F.broadcast(few), "doc_id"), "doc_id", "label"
-    ).toPandas()
+    rows = statistics_of(sampled(docs, few), "doc_id", "label").toPandas()
     # A fixed order, so that sums, and with them the trees, come out the same.
     rows = rows.assign(_first=[tuple(x) for x in rows["statistics"]]).sort_values(
         ["doc_id", "label", "_first"]

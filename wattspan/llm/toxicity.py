@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattspan.llm import boost
-from wattspan.llm.quality import sample
+from wattspan.llm.quality import sample, sampled
 from wattspan.llm.staging import held_out, staged, table, text_of
 
 #: Labelled documents to learn from, about, and words to keep of them.
@@ -305,8 +305,7 @@ def lexicons(counts: DataFrame) -> tuple[dict, dict, dict]:
 
 def fit(docs: DataFrame, labels: DataFrame, model: Model) -> tuple[dict, boost.Trees]:
     """The lexicon and the trees, from a bounded sample of the labelled documents."""
-    few = F.broadcast(sample(labels, "toxic", FOLDS, FOLD, SAMPLE))
-    learned = docs.select("doc_id", "text").join(few, "doc_id")
+    learned = sampled(docs, sample(labels, "toxic", FOLDS, FOLD, SAMPLE))
     # Equal texts lie in the same half.
     half = F.pmod(F.xxhash64(text_of()), F.lit(2)).cast("int").alias("half")
     learned = staged(restore(learned, model, "doc_id", half, "label"), "restored")
