@@ -19,8 +19,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8."""
-    return simhash.one_of_each(docs, words=5, similarity=0.8)
+    """One document of each component of fingerprints: three-word shingles, two bits."""
+    return simhash.one_of_each(docs, words=3, threshold=2)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
