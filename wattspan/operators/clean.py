@@ -26,6 +26,21 @@ def align_feeds(feeds: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def feed_ends(wide: DataFrame, feeds: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """The last time of every feed, per key, from feeds that stand side by side."""
+    lasts = wide.groupBy(*keys).agg(*[F.max(F.when(F.col(f"has_{f}"), F.col("ts"))).alias(f) for f in feeds])
+    each = F.array(*[F.struct(F.lit(f).alias("feed"), F.col(f).alias("end")) for f in feeds])
+    return lasts.select(*keys, F.inline(each)).where("end IS NOT NULL")
+
+
+def up_to_horizon(wide: DataFrame, ends: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows up to the last time that every feed of ``ends`` has reached, per key."""
+    horizon = ends.groupBy(*keys).agg(F.min("end").alias("_horizon"))
+    if not keys:
+        return wide.where(F.col("ts") <= horizon.scalar())
+    return wide.join(horizon, list(keys)).where(F.col("ts") <= F.col("_horizon")).drop("_horizon")
+
+
 def dedup_feed(
     feeds: DataFrame, keys: Sequence[str] = ("feed", "ts"), order: str = "seq"
 ) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wattspan.functions.calendar import GRAINS
 from wattspan.operators import buckets, clean, merge, readings, remote, weather as wx
 from wattspan.plans.store import Store
+from wattspan.schema import FEEDS
 from wattspan.session import discard, shared_dir
 from wattspan.sources import load_log, tables
 
@@ -157,37 +158,53 @@ def load(
     def beyond(rows: DataFrame) -> DataFrame:
         return rows if log is None else clean.new_rows(rows, log, keys)
 
-    arrived = beyond(clean.align_feeds(raw, keys))
-    times = tables.time_span(arrived)
-    if times is None:
-        return False
-    span = tables.month_span(times)
-    # One shuffle of the raw rows drops duplicates and brings the feeds side by
-    # side; the three tables are projections of its result.
+    # One pass over the raw rows beyond the last load, and one shuffle of them, drops
+    # duplicates and brings the feeds side by side; all else reads its result.
     staged = shared_dir(spark, "side_by_side")
     try:
-        _load_staged(spark, store, arrived, staged, times, span, weather, keys, open_buckets,
-                     beyond, downloaded_at, remote_params)
+        arrived = readings.side_by_side(beyond(raw.where("ts IS NOT NULL")), keys, order="seq")
+        if not tables.store_new(arrived, staged, [*keys, "ts"]):
+            return False
+        wide = _aligned(spark, store, tables.read(spark, staged), keys, log is not None)
+        times = tables.time_span(wide)
+        if times is None:
+            return False
+        _load_staged(spark, store, wide, times, weather, keys, open_buckets, beyond, downloaded_at,
+                     remote_params)
     finally:
         discard(spark, staged)
     return True
 
 
+def _aligned(
+    spark: SparkSession, store: Store, wide: DataFrame, keys: Sequence[str], loaded: bool
+) -> DataFrame:
+    """Rows up to the last time every feed has reached, those without new rows included.
+
+    The last time of every feed and key is kept, so that the history is not read for it.
+    """
+    ends = clean.feed_ends(wide, FEEDS, keys)
+    if tables.exists(spark, store.feed_ends):
+        ends = ends.unionByName(tables.read_parts(spark, store.feed_ends))
+    elif loaded and tables.exists(spark, store.feeds):  # a store from before they were kept
+        held = tables.read(spark, store.feeds).groupBy(*keys, "feed").agg(F.max("ts").alias("end"))
+        ends = ends.unionByName(held)
+    ends = ends.groupBy(*keys, "feed").agg(F.max("end").alias("end"))
+    tables.put_rows(ends, store.feed_ends, "ends")
+    return clean.up_to_horizon(wide, tables.read_parts(spark, store.feed_ends), keys)
+
+
 def _load_staged(
-    spark, store, arrived, staged, times, span, weather, keys, open_buckets, beyond, downloaded_at,
-    remote_params,
+    spark, store, wide, times, weather, keys, open_buckets, beyond, downloaded_at, remote_params
 ) -> None:
-    by = [*keys, "ts"]
-    tables.append_new(
-        readings.side_by_side(arrived, keys, order="seq"), staged, by, times=times
-    )
-    wide = tables.read(spark, staged)
+    by, span = [*keys, "ts"], tables.month_span(times)
     for rows, path, unique in (
         (readings.feed_rows(wide, keys), store.feeds, [*keys, "feed", "ts"]),
         (readings.office_of(wide, keys), store.office, by),
         (readings.readings_of(wide, keys), store.readings, by),
     ):
         tables.append_new(rows, path, unique, gather=False, times=times)
+        tables.compact(spark, path, keys=keys)
     if tables.exists(spark, store.readings):
         batch = beyond(tables.months(spark, store.readings, *span))
         if not batch.isEmpty():

@@ -40,6 +40,10 @@ class Store:
     def threshold_state(self) -> str:
         return self.path("threshold_state")
 
+    @property
+    def feed_ends(self) -> str:
+        return self.path("feed_ends")
+
     @property
     def load_log(self) -> str:
         return self.path("load_log")

@@ -5,7 +5,8 @@ each month, the folders that hold it, and the columns of the table. A reader
 follows the highest pointer, so it sees a write whole or not at all, and a
 writer that dies before the pointer is there has changed nothing. A load touches
 the months of its batch only: inserts add a folder to them, updates replace
-theirs. Folders that only pointers before the last two name are deleted.
+theirs. ``compact`` joins a month's small folders once it has many. Folders that
+only pointers before the last two name are deleted.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from wattspan.operators import merge
 # Partition column: the month as a number, yyyymm.
 PERIOD = "period"
 POINTERS = "_live"
+# Folders a month may have before its small ones are joined, and the bytes that make one large.
+FOLDERS, LARGE = 8, 256 << 20
 
 
 def _folder(spark: SparkSession, path: str):
@@ -152,6 +155,24 @@ def _write(
     spark = df.sparkSession
     number, state = _current(spark, path)
     schema = _joined(state, df.schema)
+    name, fresh = _write_folder(df, schema, path, time, keys, gather)
+    lo, hi = replaced or (1, 0)
+    held = {
+        m: f
+        for m, f in (state["months"] if state else {}).items()
+        if not (lo <= int(m) <= hi or int(m) in also)
+    }
+    for month in fresh:
+        held[month] = [*held.get(month, []), name]
+    _publish(spark, path, number + 1, {"schema": schema.jsonValue(), "months": held})
+    _forget(spark, path)
+
+
+def _write_folder(
+    df: DataFrame, schema: T.StructType, path: str, time: str, keys: Sequence[str], gather: bool = True
+) -> tuple[str, list[str]]:
+    """Write rows to a folder that no pointer names yet: its name and the months it has."""
+    spark = df.sparkSession
     have = set(df.columns)
     out = df.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name in have]
@@ -165,17 +186,53 @@ def _write(
     name = uuid.uuid4().hex
     out.sortWithinPartitions(PERIOD, time).write.partitionBy(PERIOD).parquet(f"{path}/{name}")
     prefix = f"{PERIOD}="
-    fresh = [x.removeprefix(prefix) for x in _names(spark, f"{path}/{name}") if x.startswith(prefix)]
-    lo, hi = replaced or (1, 0)
+    found = [x.removeprefix(prefix) for x in _names(spark, f"{path}/{name}") if x.startswith(prefix)]
+    return name, found
+
+
+def _bytes(spark: SparkSession, path: str) -> int:
+    folder, fs = _folder(spark, path)
+    return fs.getContentSummary(folder).getLength()
+
+
+def compact(
+    spark: SparkSession,
+    path: str,
+    time: str = "ts",
+    keys: Sequence[str] = (),
+    most: int = FOLDERS,
+    large: int = LARGE,
+) -> list[str]:
+    """Join the small folders of every month that has more than ``most``; the months it joined.
+
+    Folders of ``large`` bytes stay as they are, so a row is written again a bounded number
+    of times. Readers go on with the folders that their pointer named.
+    """
+    number, state = _current(spark, path)
+    due = {}
+    for month, folders in (state or {"months": {}})["months"].items():
+        if len(folders) > most:
+            small = [f for f in folders if _bytes(spark, f"{path}/{f}/{PERIOD}={month}") < large]
+            if len(small) > 1:
+                due[month] = small
+    if not due:
+        return []
+    schema = T.StructType.fromJson(state["schema"])
+    places = [f"{path}/{f}/{PERIOD}={month}" for month, small in due.items() for f in small]
+    name, _ = _write_folder(spark.read.schema(schema).parquet(*places), schema, path, time, keys)
     held = {
-        m: f
-        for m, f in (state["months"] if state else {}).items()
-        if not (lo <= int(m) <= hi or int(m) in also)
+        month: [f for f in folders if f not in due.get(month, ())] + [name] * (month in due)
+        for month, folders in state["months"].items()
     }
-    for month in fresh:
-        held[month] = [*held.get(month, []), name]
-    _publish(spark, path, number + 1, {"schema": schema.jsonValue(), "months": held})
+    _publish(spark, path, number + 1, {"schema": state["schema"], "months": held})
     _forget(spark, path)
+    return sorted(due)
+
+
+def store_new(rows: DataFrame, path: str, keys: Sequence[str], time: str = "ts") -> bool:
+    """Write a table that is not there yet, in one pass over its rows; False without any."""
+    _write(rows, path, time, keys, None)
+    return exists(rows.sparkSession, path)
 
 
 def append_new(
