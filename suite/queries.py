@@ -841,3 +841,18 @@ def load_twice(spark, sf):
 def load_twice_recomputed(spark, sf):
     """Two loads; buckets open at the first are computed again."""
     return _stored_tables(spark, sf, [derive.SPLIT, None], open_buckets=load.RECOMPUTE)
+
+
+@query
+def load_by_site(spark, sf):
+    """Two loads of many sites, each with a horizon, last load and threshold of its own."""
+    path = shared_dir(spark, "site-raw")
+    feeds = derive.meter_feeds(spark, sf, site="user_id")
+    feeds.withColumn("seq", F.lit(0).cast("bigint")).write.parquet(path)
+    raw, store = spark.read.parquet(path), Store(shared_dir(spark, "site-store"))
+    for split in (derive.SPLIT, None):
+        rows = raw if split is None else raw.where(F.col("ts") < ntz(split))
+        load.load(rows, store, keys=SITE, open_buckets=load.RECOMPUTE,
+                  downloaded_at=ntz(split or "2024-02-01 00:00:00"))
+    bands = load.classified(spark, store, "band", SITE)
+    return bands.select(*SITE, "day", "band", *METERS, "dow", "remote_flag")
