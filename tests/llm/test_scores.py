@@ -46,6 +46,10 @@ def letters(spark):
     ("m0r0n", "moron"), ("1d10t", "idiot"), ("5tup1d", "stupid"), ("s t u p i d", "stupid"), ("l.o.s.e.r", "loser"),
     ("stuuuupid", "stupid"), ("$cum", "scum"), ("st*pid", "stupid"), ("tr@sh", "trash"), ("w0rthl355", "worthless"),
     ("d-i-s-g-u-s-t-i-n-g", "disgusting"), ("P4TH3T1C", "pathetic"), ("you are a c l o w n.", "you are a clown."),
+    ("ki11", "kill"), ("a$$hole", "asshole"), ("1 d 1 0 t", "idiot"), ("i d 1 o t", "idiot"), ("iddiot", "idiot"),
+    ('"1d10t"', '"idiot"'), ("you,1diot", "you,idiot"), ("[1diot]", "[idiot]"), ("\u201c1diot\u201d", "\u201cidiot\u201d"),
+    ("1diot!", "idiot!"), ("well \u2014 1diot", "well \u2014 idiot"), ("1 2 3 and 4 5 6", "1 2 3 and 4 5 6"),
+    ("a book, all of it", "a book, all of it"), ("Still!", "still!"), ("bitterness", "bitterness"),
     ("Plain words stay, 12 of them.", "plain words stay, 12 of them."), ("", ""),
 ])
 def test_disguises(letters, disguised, plain):

@@ -38,8 +38,8 @@ from wattspan.llm import boost
 from wattspan.llm.quality import sample, sampled
 from wattspan.llm.staging import held_out, staged, table, text_of
 
-#: Labelled documents to learn from, about, and words to keep of them.
-SAMPLE, LEXICON = 12_000, 20_000
+#: Labelled documents to learn from, about.
+SAMPLE = 12_000
 FOLDS, FOLD = 5, 0
 #: Letters of a word's beginning, which is counted like a word of its own.
 START = 4
@@ -62,43 +62,38 @@ LOOKALIKES = {
 FILLERS = " .-_*'~"
 # Costs of the channel, in natural logarithms.
 DRAWN, ANY, FILLED, REPEATED, LOST = 0.7, 2.0, 0.4, 0.3, 7.0
+# A letter written twice, which plain words of the corpus do as well.
+DOUBLED = 5.0
 # A break written as a space, as another filler, or in place of a look-alike.
 SPACED, PARTED, BROKEN = 1.0, 2.0, 6.0
 
 _MARKS = re.escape("".join(LOOKALIKES).replace("*", "")) + re.escape(".-_*'~")
-_LETTER = r"[^\W\d_]"
-#: Stretches to restore: single letters in a row, and words with marks inside or tripled letters.
+_LETTER, _TOKEN = r"[^\W\d_]", rf"[\w{_MARKS}]"
+_SINGLE = rf"(?:{_LETTER}|[0-9@$!|+])"
+#: Stretches to restore, beside anything that is no part of a word: single letters or look-alikes in
+#: a row, and tokens in which a letter has a mark beside it or comes twice.
 DISGUISED = re.compile(
-    rf"(?<!\w){_LETTER}(?:[ .\-_*]{{1,3}}{_LETTER}){{2,}}(?!\w)"
-    rf"|(?<![^\s])(?=\S*{_LETTER})(?:[\w{_MARKS}]*?)(?:{_LETTER}[{_MARKS}]{{1,3}}{_LETTER}|[0-9@$!|+]{{1,2}}{_LETTER}"
-    rf"|({_LETTER})\1\1)[\w{_MARKS}]*"
+    rf"(?<![\w@$|+]){_SINGLE}(?:[ .\-_*]{{1,3}}{_SINGLE}){{2,}}(?![\w@$|+])"
+    rf"|(?<!{_TOKEN}){_TOKEN}*?(?:{_LETTER}[{_MARKS}]{{1,3}}{_LETTER}|[0-9@$!|+]{{1,2}}{_LETTER}"
+    rf"|{_LETTER}[0-9@$+|#*]{{1,4}}(?!{_TOKEN})|({_LETTER})\1){_TOKEN}*"
 )
+#: Marks that end or begin a stretch as they do plain words.
+OUTSIDE = ".!'~-_("
 WORDS = re.compile(rf"{_LETTER}+")
 
-_KIND = np.zeros(0x250, np.int8)
-for _c in range(0x250):
-    _KIND[_c] = 1 if chr(_c).isalpha() else 2 if chr(_c) in LOOKALIKES or chr(_c) in FILLERS else 0
-
 
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def may_be_disguised(text: str) -> bool:
-    """Whether a (lower-cased) text has marks between letters or a tripled letter."""
-    points = code_points(text)
-    if len(points) < 3:
-        return False
-    kind = _KIND[np.minimum(points, 0x24F)]
-    letter, mark = kind == 1, (kind == 2) & (points != 32)
-    alone = letter.copy()
-    alone[1:] &= ~letter[:-1]
-    alone[:-1] &= ~letter[1:]
-    tripled = letter[2:] & (points[2:] == points[1:-1]) & (points[1:-1] == points[:-2])
-    # A mark and a letter behind it; marks between letters begin or end so.
-    marked = mark[:-1] & letter[1:]
-    spaced = alone[2:] & (kind[1:-1] == 2) & alone[:-2]
-    return bool(marked.any() or tripled.any() or spaced.any())
+def symbols_of(points: np.ndarray) -> np.ndarray:
+    """The alphabet's symbols of code points; what is no letter is a break, in any script."""
+    out = SYMBOL[np.minimum(points, len(SYMBOL) - 1)]
+    high = points >= len(SYMBOL)
+    if high.any():
+        values, places = np.unique(points[high], return_inverse=True)
+        out[high] = np.array([OTHER if chr(v).isalpha() else 0 for v in values], np.int32)[places]
+    return out
 
 
 class Model:
@@ -120,11 +115,14 @@ class Model:
         return found
 
 
-def choices(char: str, previous: str) -> list[tuple[int, float]]:
-    """What a character may stand for: (symbol, channel's cost); -1 stands for nothing."""
+def choices(char: str, previous: str, often: bool) -> list[tuple[int, float]]:
+    """What a character may stand for: (symbol, channel's cost); -1 stands for nothing.
+
+    ``often`` says whether it comes three times in a row and more.
+    """
     if char.isalpha():
         own = LETTERS.get(char, OTHER)
-        return [(own, 0.0), (-1, REPEATED)] if char == previous else [(own, 0.0)]
+        return [(own, 0.0), (-1, REPEATED if often else DOUBLED)] if char == previous else [(own, 0.0)]
     found = [(LETTERS[c], ANY if char == "*" else DRAWN) for c in LOOKALIKES.get(char, "")]
     if char in FILLERS or char.isspace():
         return [*found, (-1, FILLED), (0, SPACED if char.isspace() else PARTED)]
@@ -135,9 +133,9 @@ def decode(stretch: str, model: Model) -> str:
     """The cheapest plain text of a stretch; states are the two symbols written last."""
     states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
     previous = ""
-    for char in stretch:
+    for at, char in enumerate(stretch):
         found: dict[tuple[int, int], tuple[float, tuple]] = {}
-        options = choices(char, previous)
+        options = choices(char, previous, char * 3 in stretch[max(0, at - 2) : at + 3])
         for (p, q), (cost, path) in states.items():
             after = model.after(p, q)
             for symbol, price in options:
@@ -162,19 +160,23 @@ def decode(stretch: str, model: Model) -> str:
 
 def restored(text: str, model: Model, known: dict[str, str]) -> str:
     """The lower-cased text with its disguised stretches in plain letters."""
-    low = text.lower()
-    if not may_be_disguised(low):
-        return low
-
     def plain(match: re.Match) -> str:
-        stretch = match.group(0)
-        if stretch not in known:
+        token = match.group(0)
+        out = known.get(token)
+        if out is None:
             if len(known) >= 100_000:
                 known.clear()
-            known[stretch] = decode(stretch, model)
-        return known[stretch]
+            behind = token.rstrip(OUTSIDE)
+            stretch = behind.lstrip(OUTSIDE)
+            # Figures in a row are no word.
+            word = sum(map(str.isalpha, stretch)) > (" " in stretch)
+            middle = decode(stretch, model) if word else stretch
+            out = known[token] = (
+                behind[: len(behind) - len(stretch)] + middle + token[len(behind) :]
+            )
+        return out
 
-    return DISGUISED.sub(plain, low)
+    return DISGUISED.sub(plain, text.lower())
 
 
 def triple_counts(docs: DataFrame) -> np.ndarray:
@@ -184,7 +186,7 @@ def triple_counts(docs: DataFrame) -> np.ndarray:
         total = np.zeros(SIZE**3, np.int64)
         points = code_points(text)
         for at in range(0, len(points), 1 << 20):
-            symbols = SYMBOL[np.minimum(points[at : at + (1 << 20) + 2], 0x24F)]
+            symbols = symbols_of(points[at : at + (1 << 20) + 2])
             symbols = symbols[(symbols > 0) | np.r_[True, symbols[:-1] > 0]]
             index = (symbols[:-2] * SIZE + symbols[1:-1]) * SIZE + symbols[2:]
             total += np.bincount(index, minlength=SIZE**3)
@@ -287,12 +289,8 @@ def lexicons(counts: DataFrame) -> tuple[dict, dict, dict]:
         return {}, {}, {}
     toxic, other = F.col("n1") + F.col("n3"), F.col("n0") + F.col("n2")
     share = (total.n1 + total.n3 + 1) / (total.n0 + total.n2 + 1)
-    words = (
-        counts.where((toxic >= 2) & (toxic > 3 * share * other))
-        .orderBy(toxic.desc(), "word")
-        .limit(LEXICON)
-        .toPandas()
-    )
+    # Words of the sample's toxic documents; no weight depends on their order.
+    words = counts.where((toxic >= 2) & (toxic > 3 * share * other)).toPandas()
 
     def of(halves: tuple[int, ...]) -> dict:
         t, o = sum(words[f"n{2 * h + 1}"] for h in halves), sum(words[f"n{2 * h}"] for h in halves)
