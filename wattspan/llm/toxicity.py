@@ -70,13 +70,17 @@ SPACED, PARTED, BROKEN = 1.0, 2.0, 6.0
 _MARKS = re.escape("".join(LOOKALIKES).replace("*", "")) + re.escape(".-_*'~")
 _LETTER, _TOKEN = r"[^\W\d_]", rf"[\w{_MARKS}]"
 _SINGLE = rf"(?:{_LETTER}|[0-9@$!|+])"
-#: Stretches to restore, beside anything that is no part of a word: single letters or look-alikes in
-#: a row, and tokens in which a letter has a mark beside it or comes twice.
-DISGUISED = re.compile(
-    rf"(?<![\w@$|+]){_SINGLE}(?:[ .\-_*]{{1,3}}{_SINGLE}){{2,}}(?![\w@$|+])"
-    rf"|(?<!{_TOKEN}){_TOKEN}*?(?:{_LETTER}[{_MARKS}]{{1,3}}{_LETTER}|[0-9@$!|+]{{1,2}}{_LETTER}"
+_BREAK = r"[ .\-_*]{1,3}"
+#: Single letters or look-alikes in a row, and what every such row has in it.
+SPACED = re.compile(rf"(?<![\w@$|+]){_SINGLE}(?:{_BREAK}{_SINGLE}){{2,}}(?![\w@$|+])")
+IN_SPACED = re.compile(rf"[ .\-_*]{_SINGLE}{_BREAK}{_SINGLE}(?![\w@$|+])")
+#: Tokens in which a letter has a mark beside it or comes twice, beside whatever is no token.
+MARKED = re.compile(
+    rf"(?<!{_TOKEN}){_TOKEN}*?(?:{_LETTER}[{_MARKS}]{{1,3}}{_LETTER}|[0-9@$!|+]{{1,2}}{_LETTER}"
     rf"|{_LETTER}[0-9@$+|#*]{{1,4}}(?!{_TOKEN})|({_LETTER})\1){_TOKEN}*"
 )
+#: What lies between spaces and is not longer is restored once for many texts, so many at a time.
+KEPT_LENGTH, KEPT = 48, 100_000
 #: Marks that end or begin a stretch as they do plain words.
 OUTSIDE = ".!'~-_("
 WORDS = re.compile(rf"{_LETTER}+")
@@ -158,25 +162,36 @@ def decode(stretch: str, model: Model) -> str:
     return "".join(reversed(out))
 
 
+def plain(stretch: str, model: Model) -> str:
+    """A stretch in plain letters, between the marks that it begins and ends with."""
+    behind = stretch.rstrip(OUTSIDE)
+    inner = behind.lstrip(OUTSIDE)
+    # Figures in a row are no word.
+    if sum(map(str.isalpha, inner)) <= (" " in inner):
+        return stretch
+    return behind[: len(behind) - len(inner)] + decode(inner, model) + stretch[len(behind) :]
+
+
 def restored(text: str, model: Model, known: dict[str, str]) -> str:
     """The lower-cased text with its disguised stretches in plain letters."""
-    def plain(match: re.Match) -> str:
-        token = match.group(0)
-        out = known.get(token)
+
+    def of(match: re.Match) -> str:
+        return plain(match.group(0), model)
+
+    def token(found: str) -> str:
+        out = known.get(found)
         if out is None:
-            if len(known) >= 100_000:
-                known.clear()
-            behind = token.rstrip(OUTSIDE)
-            stretch = behind.lstrip(OUTSIDE)
-            # Figures in a row are no word.
-            word = sum(map(str.isalpha, stretch)) > (" " in stretch)
-            middle = decode(stretch, model) if word else stretch
-            out = known[token] = (
-                behind[: len(behind) - len(stretch)] + middle + token[len(behind) :]
-            )
+            out = MARKED.sub(of, found)
+            if len(found) <= KEPT_LENGTH:
+                if len(known) >= KEPT:
+                    known.clear()
+                known[found] = out
         return out
 
-    return DISGUISED.sub(plain, text.lower())
+    low = text.lower()
+    if IN_SPACED.search(low):
+        low = SPACED.sub(of, low)
+    return " ".join(map(token, low.split(" ")))
 
 
 def triple_counts(docs: DataFrame) -> np.ndarray:
