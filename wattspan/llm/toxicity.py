@@ -72,8 +72,8 @@ _LETTER, _TOKEN = r"[^\W\d_]", rf"[\w{_MARKS}]"
 _SINGLE = rf"(?:{_LETTER}|[0-9@$!|+])"
 _BREAK = r"[ .\-_*]{1,3}"
 #: Single letters or look-alikes in a row, and what every such row has in it.
-SPACED = re.compile(rf"(?<![\w@$|+]){_SINGLE}(?:{_BREAK}{_SINGLE}){{2,}}(?![\w@$|+])")
-IN_SPACED = re.compile(rf"[ .\-_*]{_SINGLE}{_BREAK}{_SINGLE}(?![\w@$|+])")
+ROW = re.compile(rf"(?<![\w@$|+]){_SINGLE}(?:{_BREAK}{_SINGLE}){{2,}}(?![\w@$|+])")
+IN_ROW = re.compile(rf"[ .\-_*]{_SINGLE}{_BREAK}{_SINGLE}(?![\w@$|+])")
 #: Tokens in which a letter has a mark beside it or comes twice, beside whatever is no token.
 MARKED = re.compile(
     rf"(?<!{_TOKEN}){_TOKEN}*?(?:{_LETTER}[{_MARKS}]{{1,3}}{_LETTER}|[0-9@$!|+]{{1,2}}{_LETTER}"
@@ -189,8 +189,8 @@ def restored(text: str, model: Model, known: dict[str, str]) -> str:
         return out
 
     low = text.lower()
-    if IN_SPACED.search(low):
-        low = SPACED.sub(of, low)
+    if IN_ROW.search(low):
+        low = ROW.sub(of, low)
     return " ".join(map(token, low.split(" ")))
 
 
