@@ -397,12 +397,12 @@ SELECT * FROM hour WHERE CAST(building AS DOUBLE) BETWEEN
   (SELECT quantile_cont(CAST(building AS DOUBLE), 0.95) FROM hour)"""
 
 
-def describe_sql(c: str) -> str:
+def describe_sql(c: str, table: str = "band") -> str:
     d = f"CAST({c} AS DOUBLE)"
     return f"""SELECT '{c}' AS name, count({c}) AS "count", round(avg({d}), 6) AS mean,
   round(stddev_samp({d}), 6) AS std, CAST(min({c}) AS DOUBLE) AS min,
   round(quantile_cont({d}, 0.25), 6) AS q25, round(quantile_cont({d}, 0.5), 6) AS q50,
-  round(quantile_cont({d}, 0.75), 6) AS q75, CAST(max({c}) AS DOUBLE) AS max FROM band"""
+  round(quantile_cont({d}, 0.75), 6) AS q75, CAST(max({c}) AS DOUBLE) AS max FROM {table}"""
 
 
 SQL["describe"] = f"WITH {READINGS}, {table_cte('band')} " + " UNION ALL ".join(
@@ -608,6 +608,15 @@ feeds AS (SELECT a.* FROM all_feeds a JOIN horizons h ON a.site = h.site AND a.t
 {readings_cte(True)}, {table_cte('band', site=True)}, {threshold_cte(True)}, {flags_cte(True)}
 SELECT band.*, f.remote_flag FROM band
 LEFT JOIN flags f ON f.site = band.site AND f.day = band.day AND f.band = band.band"""
+STORED_HOURS = f"""WITH {feeds_cte().replace('feeds AS (', 'all_feeds AS (')},
+{aligned_cte('feeds', 'true')}, {readings_cte()}, {table_cte('hour')}"""
+SQL["usual_hours"] = f"""{STORED_HOURS}
+SELECT ts, {', '.join(METERS)}, dow FROM hour WHERE CAST(building AS DOUBLE) BETWEEN
+  (SELECT quantile_cont(CAST(building AS DOUBLE), 1 - CAST(0.95 AS DOUBLE)) FROM hour) AND
+  (SELECT quantile_cont(CAST(building AS DOUBLE), 0.95) FROM hour)"""
+SQL["stored_summary"] = f"{STORED_HOURS} " + " UNION ALL ".join(
+    describe_sql(m, "hour") for m in METERS
+)
 
 # Streaming ------------------------------------------------------------------------
 

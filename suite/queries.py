@@ -856,3 +856,31 @@ def load_by_site(spark, sf):
                   downloaded_at=ntz(split or "2024-02-01 00:00:00"))
     bands = load.classified(spark, store, "band", SITE)
     return bands.select(*SITE, "day", "band", *METERS, "dow", "remote_flag")
+
+
+def _loaded_in_two(spark, sf):
+    """A store after two loads, whose hours the second computed again where they were open."""
+    path = shared_dir(spark, "usual-raw")
+    feeds = derive.meter_feeds(spark, sf).withColumn("seq", F.lit(0).cast("bigint"))
+    feeds.write.parquet(path)
+    raw, store = spark.read.parquet(path), Store(shared_dir(spark, "usual-store"))
+    for split in (derive.SPLIT, None):
+        rows = raw if split is None else raw.where(F.col("ts") < ntz(split))
+        load.load(rows, store, open_buckets=load.RECOMPUTE,
+                  downloaded_at=ntz(split or "2024-02-01 00:00:00"))
+    return store
+
+
+@query
+def usual_hours(spark, sf):
+    """Stored hours without outliers, their limits found from the sketches that loads keep."""
+    hours = load.usual_hours(spark, _loaded_in_two(spark, sf), "building", 0.95)
+    return hours.select("ts", *METERS, "dow")
+
+
+@query
+def stored_summary(spark, sf):
+    """Summary of the stored hours, quartiles found from the sketches that loads keep."""
+    stats = load.summary(spark, _loaded_in_two(spark, sf))
+    numbers = ("mean", "std", "min", "q25", "q50", "q75", "max")
+    return stats.withColumns({c: F.round(c, 6) for c in numbers})

@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from wattspan.operators import forecast, metrics, model, prep
+from wattspan.operators import forecast, metrics, model, prep, sketches
 from wattspan.schema import FEATURES, SCALED_FEATURES, WEATHER_VARS
 
 
@@ -43,6 +43,54 @@ def test_quantiles_of_any_number(spark):
         assert got["n", p] == pytest.approx(pd.Series(range(302)).quantile(p))
 
 
+@pytest.fixture(scope="module")
+def tied(spark, tmp_path_factory):
+    """Two months of values with a third equal, on disk, and their sketches."""
+    rng = random.Random(5)
+    values = [round(rng.lognormvariate(2, 2), 2) for _ in range(4000)] + [12.5] * 2000
+    rows = pd.DataFrame({"i": range(len(values)), "x": values, "none": [None] * len(values)})
+    df = spark.createDataFrame(rows, "i int, x double, none double").withColumn(
+        "ts", F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(i % 60)")
+    )
+    folder = str(tmp_path_factory.mktemp("tied"))
+    df.write.parquet(f"{folder}/rows")
+    df = spark.read.parquet(f"{folder}/rows")
+    # Small sketches, so that their answers are not exact.
+    sketches.month_sketches(df, ["x", "i", "none"], size=64).write.parquet(f"{folder}/sketches")
+    return values, df, spark.read.parquet(f"{folder}/sketches")
+
+
+@pytest.mark.parametrize("known", ["true", "ts < '2024-02-01'", "name = 'i'", "false", "shifted"])
+def test_quantiles_by_sketches_are_exact_whatever_the_sketches(tied, known):
+    values, df, kept = tied
+    if known == "shifted":  # sketches of other values: every rank lies below or above
+        kept = sketches.month_sketches(df.withColumn("x", F.col("x") + 1e6).withColumn("i", -F.col("i")), ["x", "i"])
+    else:
+        kept = kept.where(known)
+    probs = [0.0, 0.05, 0.25, 0.5, 0.95, 1.0]
+    found = prep.quantiles(df, ["x", "i", "none"], probs, kept).collect()
+    got = {(r["name"], r["prob"]): r["value"] for r in found}
+    assert len(got) == len(found) == 2 * len(probs)
+    for p in probs:
+        assert got["x", p] == pytest.approx(pd.Series(values).quantile(p), rel=1e-12, abs=1e-9)
+        assert got["i", p] == pytest.approx(pd.Series(range(len(values))).quantile(p))
+
+
+def test_values_far_from_the_ranks_are_not_grouped(tied):
+    _, df, _ = tied
+    kept = sketches.month_sketches(df, ["i"])
+    _, counts = prep._hinted(df, ["i"], [0.5], kept)
+    assert 0 < counts.count() <= 2 * 2 * sketches.MARGIN * 6000
+
+
+def test_sketches_of_nothing(spark):
+    df = spark.createDataFrame([], "ts timestamp_ntz, x double")
+    kept = sketches.month_sketches(df, ["x"])
+    assert kept.count() == 0
+    assert prep.quantiles(df, ["x"], [0.5], kept).count() == 0
+    assert prep.filter_outliers(df, "x", 0.95, sketches=kept).count() == 0
+
+
 def test_filter_outliers(numbers):
     values = list(range(100))
     kept = [r["x"] for r in prep.filter_outliers(numbers(values), "x", 0.95).collect()]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import at, kw
 from wattspan import session
-from wattspan.operators import buckets, clean, readings, remote, weather
+from wattspan.operators import buckets, clean, prep, readings, remote, weather
 from wattspan.plans import load as plan
 from wattspan.operators import ensemble
 from wattspan.plans import predict
@@ -378,6 +378,23 @@ def test_flags_are_kept_up_by_months(spark, tmp_path):
     same_rows(tables.read(spark, steps.flags), remote.band_flags(tables.read(spark, steps.agg("band"))))
 
 
+def test_sketches_are_kept_up_by_months(spark, tmp_path):
+    """A load sketches the months it touches; limits by the sketches are those of all hours."""
+    raw, store = ramps(spark), Store(str(tmp_path))
+    until = F.lit("2024-02-02").cast("timestamp_ntz")
+    assert plan.load(raw.where(F.col("ts") < until), store)
+    first = tables._current(spark, store.sketches("hour"))[1]["months"]
+    assert sorted(first) == ["202401", "202402"]
+    assert plan.load(raw, store)
+    second = tables._current(spark, store.sketches("hour"))[1]["months"]
+    assert second["202401"] == first["202401"] and second["202402"] != first["202402"]
+    hours = tables.read(spark, store.agg("hour"))
+    same_rows(plan.usual_hours(spark, store, "building", 0.9), prep.filter_outliers(hours, "building", 0.9))
+    quarters = ("name", "count", "min", "q25", "q50", "q75", "max")
+    whole = prep.describe(hours, ["building", "data_center", "solar", "office"])
+    same_rows(plan.summary(spark, store).select(*quarters), whole.select(*quarters))
+
+
 def test_months_are_flagged_again_when_the_threshold_crosses_a_load(spark):
     days = [("2024-01-02", 2, 2, 50), ("2024-02-01", 2, 4, 60), ("2024-03-01", 2, 5, 60), ("2024-03-02", 2, 6, 1)]
     bands = spark.createDataFrame(days, "d string, band int, dow int, o int").select(

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wattspan.functions import calendar as cal
 from wattspan.functions import comfort
+from wattspan.operators import sketches as sk
 from wattspan.schema import CALENDAR_FEATURES, SCALED_FEATURES, TARGET
 
 # Parts of a column's range that ranks are located among, and how often.
@@ -125,26 +127,77 @@ def approximate_quantiles(
     return found.select(F.inline(each)).where("value IS NOT NULL")
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+def _hinted(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], sketches: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Wanted ranks and the counts of the values near them, in two passes over the rows.
+
+    The first counts the rows below and within the places that the sketches name, so a
+    rank is known to be there, or below or above; the second takes the values of that part.
+    The driver sees six numbers per column and probability.
+    """
+    hints = {(r["name"], r["prob"]): (r["lo"], r["hi"]) for r in sk.brackets(sketches, probs).collect()}
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    stats = [f(c) for c in columns for f in (F.count, F.min, F.max)]
+    places = [(c, p) for c in columns for p in probs if (c, p) in hints]
+    for c, p in places:
+        lo, hi = hints[c, p]
+        stats += [F.count_if(F.col(c) < lo), F.count_if(F.col(c) <= hi)]
+    found = tuple(numbers.agg(*[s.alias(f"s{i}") for i, s in enumerate(stats)]).first())
+    size = 3 * len(columns)
+    totals = {c: found[3 * i : 3 * i + 3] for i, c in enumerate(columns)}
+    counted = {at: found[size + 2 * i : size + 2 * i + 2] for i, at in enumerate(places)}
+    wanted, kept = [], []
+    for c in columns:
+        total, least, most = totals[c]
+        near = F.lit(False)
+        for p in map(float, probs) if total else ():
+            pos = p * (total - 1)
+            lo, hi = hints.get((c, p), (least, most))
+            before, upto = counted.get((c, p), (0, total))
+            for side, rank in (("lo", math.floor(pos)), ("hi", math.ceil(pos))):
+                # Beyond the hint, the part reaches to the end of the column's range.
+                if rank < before:
+                    part = (rank, least, lo)
+                else:
+                    part = (rank - before, lo, hi if rank < upto else most)
+                wanted.append((c, p, side, pos, *part))
+                near = near | F.col(c).between(*part[1:])
+        kept.append(F.when(near, F.col(c)).alias(c))
+    schema = "name string, prob double, side string, pos double, rank bigint, lo double, hi double"
+    ranks = df.sparkSession.createDataFrame(wanted, schema)
+    return ranks, _value_counts(numbers.select(*kept), columns)
+
+
+def quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], sketches: DataFrame | None = None
+) -> DataFrame:
     """Exact quantiles with linear interpolation of numeric columns: (name, prob, value).
 
     Rows are counted per distinct value. The ranks wanted are located among equal
     parts of a column's range, then among parts of that part; only the values
     that are left, between neighbouring ends a millionth of the range apart, are
     put in order.
+
+    ``sketches`` (``sketches.month_sketches`` of any months) say where the ranks should
+    be: then the rows are counted around those places at once, and only values near them
+    are grouped. Sketches that are old, or lack a column, cost time but change no result.
     """
-    counts = _value_counts(df, columns)
-    pos = F.col("prob") * (F.col("total") - 1)
-    rank = F.when(F.col("side") == "lo", F.floor("pos")).otherwise(F.ceil("pos"))
-    wanted = (
-        counts.groupBy("name")
-        .agg(F.sum("n").alias("total"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-        .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("side", F.explode(F.array(F.lit("lo"), F.lit("hi"))))
-        .withColumn("pos", pos)
-        .select(*RANK, "pos", rank.alias("rank"), "lo", "hi")
-    )
-    for _ in range(LEVELS):
+    if sketches is None:
+        counts = _value_counts(df, columns)
+        pos = F.col("prob") * (F.col("total") - 1)
+        rank = F.when(F.col("side") == "lo", F.floor("pos")).otherwise(F.ceil("pos"))
+        wanted = (
+            counts.groupBy("name")
+            .agg(F.sum("n").alias("total"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+            .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+            .withColumn("side", F.explode(F.array(F.lit("lo"), F.lit("hi"))))
+            .withColumn("pos", pos)
+            .select(*RANK, "pos", rank.alias("rank"), "lo", "hi")
+        )
+    else:
+        wanted, counts = _hinted(df, columns, probs, sketches)
+    for _ in range(LEVELS if sketches is None else LEVELS - 1):
         wanted = _narrowed(counts, wanted)
     inside = Window.partitionBy(*RANK).orderBy("value")
     reached = (
@@ -164,17 +217,22 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) ->
 
 
 def filter_outliers(
-    df: DataFrame, column: str, threshold: float, accuracy: int | None = None
+    df: DataFrame,
+    column: str,
+    threshold: float,
+    accuracy: int | None = None,
+    sketches: DataFrame | None = None,
 ) -> DataFrame:
     """Rows between the (1 - threshold) and the threshold quantile, both included.
 
-    ``accuracy`` asks for approximate quantiles instead of exact ones.
+    ``accuracy`` asks for approximate quantiles instead of exact ones; ``sketches`` are
+    hints for exact ones.
     """
     probs = [1 - threshold, threshold]
     if accuracy:
         found = approximate_quantiles(df, [column], probs, accuracy)
     else:
-        found = quantiles(df, [column], probs)
+        found = quantiles(df, [column], probs, sketches)
     limits = found.agg(
         F.struct(
             F.max(F.when(F.col("prob") == 1 - threshold, F.col("value"))).alias("lo"),
@@ -189,8 +247,10 @@ def filter_outliers(
     )
 
 
-def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Summary statistics, one row per column."""
+def describe(
+    df: DataFrame, columns: Sequence[str], sketches: DataFrame | None = None
+) -> DataFrame:
+    """Summary statistics, one row per column; ``sketches`` are hints for its quartiles."""
     stats = {
         "count": lambda c: F.count(c),
         "mean": lambda c: F.avg(F.col(c).cast("double")),
@@ -207,7 +267,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         ).alias("rows")
     ).select(F.inline("rows"))
     quarters = (
-        quantiles(df, columns, [0.25, 0.5, 0.75])
+        quantiles(df, columns, [0.25, 0.5, 0.75], sketches)
         .groupBy("name")
         .agg(
             *[

@@ -13,9 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wattspan.functions.calendar import GRAINS
-from wattspan.operators import buckets, clean, merge, readings, remote, weather as wx
+from wattspan.operators import buckets, clean, merge, prep, readings, remote, sketches, weather as wx
 from wattspan.plans.store import Store
-from wattspan.schema import FEEDS
+from wattspan.schema import FEEDS, METERS
 from wattspan.session import discard, shared_dir
 from wattspan.sources import load_log, tables
 
@@ -115,6 +115,35 @@ def _classify(
     tables.rewrite(spark, store.threshold_state, span, lambda _: states, "day", keys, also)
 
 
+def _sketch(spark: SparkSession, store: Store, span: tuple[int, int]) -> None:
+    """Sketch the hours of the months the load touched; those of other months stay."""
+    if not tables.exists(spark, store.agg("hour")):
+        return
+    hours = tables.months(spark, store.agg("hour"), *span)
+    fresh = sketches.month_sketches(hours, METERS)
+    tables.rewrite(spark, store.sketches("hour"), span, lambda _: fresh)
+
+
+def _hints(spark: SparkSession, store: Store) -> DataFrame | None:
+    path = store.sketches("hour")
+    return tables.read(spark, path) if tables.exists(spark, path) else None
+
+
+def usual_hours(spark: SparkSession, store: Store, column: str, threshold: float) -> DataFrame:
+    """Stored hours without the outliers of a meter, by all stored hours.
+
+    The kept sketches say where the limits lie, so the history is passed over twice for
+    them, one column wide.
+    """
+    hours = tables.read(spark, store.agg("hour"))
+    return prep.filter_outliers(hours, column, threshold, sketches=_hints(spark, store))
+
+
+def summary(spark: SparkSession, store: Store, columns: Sequence[str] = METERS) -> DataFrame:
+    """Summary statistics of the stored hours, quartiles from the kept sketches on."""
+    return prep.describe(tables.read(spark, store.agg("hour")), columns, _hints(spark, store))
+
+
 def classified(
     spark: SparkSession, store: Store, grain: str, keys: Sequence[str] = ()
 ) -> DataFrame:
@@ -211,5 +240,6 @@ def _load_staged(
             _merge_states(spark, store, batch, span, keys)
             for grain in GRAINS:
                 _refresh(spark, store, grain, span, weather, keys, open_buckets)
+            _sketch(spark, store, span)
             _classify(spark, store, span, keys, **remote_params)
     load_log.append_log(load_log.log_entry(wide, downloaded_at, keys), store.load_log)

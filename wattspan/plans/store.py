@@ -56,6 +56,9 @@ class Store:
     def forecasts(self) -> str:
         return self.path("forecasts")
 
+    def sketches(self, grain: str) -> str:
+        return self.path(f"sketches_{grain}")
+
     def agg(self, grain: str) -> str:
         if grain not in GRAINS:
             raise ValueError(f"unknown grain {grain!r}")
