@@ -134,7 +134,7 @@ def _hinted(
 
     The first counts the rows below and within the places that the sketches name, so a
     rank is known to be there, or below or above; the second takes the values of that part.
-    The driver sees six numbers per column and probability.
+    The driver sees up to seven numbers per column and probability.
     """
     hints = {(r["name"], r["prob"]): (r["lo"], r["hi"]) for r in sk.brackets(sketches, probs).collect()}
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
